@@ -26,12 +26,22 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path`` in whatever file system it names."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when nothing has been written there yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # A folder without a data file, as an interrupted first write leaves it.
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
