@@ -35,6 +35,16 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = (),
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def latest_attributes(df: DataFrame, keys: Sequence[str], attributes: Sequence[str], newest: str) -> DataFrame:
+    """``dedup_latest`` for a table with few distinct attribute values, as a dimension's source is.
+
+    Rows are first hash-aggregated to one per key and attribute values, so the
+    many rows of a fact are neither sorted nor shuffled.
+    """
+    readings = df.groupBy(*keys, *attributes).agg(F.max(newest).alias(newest))
+    return dedup_latest(readings, keys, [newest])
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The non-null values of one column, each once."""
     return df.select(column).where(F.col(column).isNotNull()).distinct()

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
+from siltstone.functions.folders import folders_of, in_folders
 from siltstone.functions.matching import same
 from siltstone.operators.dedup import dedup_latest
 from siltstone.operators.slices import POSITION, SLICE, sorted_slices, with_neighbour
@@ -34,41 +35,34 @@ def upsert_table(
     keys: Sequence[str],
     newest: Sequence[str],
     columns: Sequence[str] = PARTITION_COLUMNS,
+    filed_by_key: bool = False,
 ) -> None:
     """Merge ``source`` into a partitioned table, rewriting only the folders concerned.
 
     Those are the folders of the source rows and the folders that hold an older
-    row of the same key, which may differ when a row's date was corrected.
+    row of the same key.  The latter are found from the key columns of the whole
+    table, unless a key always belongs to the same folder (``filed_by_key``).
     """
     spark = source.sparkSession
     # Read several times below, and perhaps derived from the table itself.
-    source = dedup_latest(materialise(source, "upsert-source"), keys, newest)
+    source = materialise(dedup_latest(source, keys, newest), "upsert-source")
     target = read_table_if_any(spark, path)
     if target is None:
         write_partitioned(source, path, columns)
         return
 
-    held = target.select(*dict.fromkeys([*keys, *columns])).alias("t").join(
-        source.select(*keys).alias("s"), same("t", "s", keys), "left_semi"
-    )
-    # One row per folder: its number is the number of days, not of rows.
-    folders = materialise(held.select(*columns).unionByName(source.select(*columns)).distinct(), "upsert-folders")
-    touched = target.alias("t").join(F.broadcast(folders.alias("f")), same("t", "f", columns), "left_semi")
-
+    folders = folders_of(source, columns)
+    if not filed_by_key:
+        held = target.select(*dict.fromkeys([*keys, *columns])).alias("t")
+        folders |= folders_of(held.join(source.select(*keys).alias("s"), same("t", "s", keys), "left_semi"), columns)
+    touched = target.where(in_folders(columns, folders))
     merged = materialise(upsert_latest(touched, source.select(*target.columns), keys, newest), "upsert-merged")
     write_partitioned(merged, path, columns, only_touched=True)
-    _clear_folders(path, folders, merged, columns)
-
-
-def _clear_folders(path: str, folders: DataFrame, merged: DataFrame, columns: Sequence[str]) -> None:
-    """Empty the folders whose last row has moved to another one."""
-    filled = merged.select(*columns).distinct()
-    emptied = folders.alias("f").join(filled.alias("m"), same("f", "m", columns), "left_anti").collect()
-    nothing = merged.drop(*columns).limit(0)
-    for row in emptied:
-        values = ("__HIVE_DEFAULT_PARTITION__" if row[c] is None else row[c] for c in columns)
-        folder = "/".join(f"{c}={v}" for c, v in zip(columns, values))
-        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+    if not filed_by_key:
+        # A folder whose last row has moved to another one is not overwritten by any row.
+        nothing = merged.drop(*columns).limit(0)
+        for emptied in sorted(folders - folders_of(merged, columns)):
+            nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
 
 
 def incremental_load(
@@ -79,10 +73,11 @@ def incremental_load(
     keys: Sequence[str],
     newest: Sequence[str],
     columns: Sequence[str] = PARTITION_COLUMNS,
+    filed_by_key: bool = False,
 ) -> None:
     """Merge a staging table into its fact table, then leave the staging table empty."""
     staged = spark.read.schema(schema).parquet(staging_path)
-    upsert_table(table_path, staged, keys, newest, columns)
+    upsert_table(table_path, staged, keys, newest, columns, filed_by_key)
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(staging_path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -35,33 +36,41 @@ def _result(check: str, column: str, failed: Column, total: Column) -> Column:
     )
 
 
-def quality_report(df: DataFrame, expect: Expectations) -> DataFrame:
-    """Rows ``(check, column, failed, total, passed)``.
-
-    All column checks come from one aggregate over the table.  Uniqueness needs
-    the keys grouped; counts are combined before they are shuffled.
-    """
+def _column_checks(df: DataFrame, expect: Expectations, *extra: Column) -> tuple[DataFrame, list[Column]]:
+    """One aggregate over the table, and the result structs to be read from its row."""
     failures = {
         **{("not_null", c): F.col(c).isNull() for c in expect.required},
         **{("timestamp", c): F.col(c).isNotNull() & as_timestamp(c).isNull() for c in expect.timestamps},
     }
     counted = [F.count_if(bad).alias(f"_{i}") for i, bad in enumerate(failures.values())]
-    totals = df.agg(F.count(F.lit(1)).alias("_total"), *counted)
+    totals = df.agg(F.count(F.lit(1)).alias("_total"), *counted, *extra)
     results = [_result(*name, F.col(f"_{i}"), F.col("_total")) for i, name in enumerate(failures)]
     if expect.schema is not None:
         differs = schema_differences(df.schema, expect.schema)
         results += [_result("schema", c, F.lit(int(bad)), F.col("_total")) for c, bad in differs.items()]
-    reports = []
-    if results:
-        reports.append(totals.select(F.explode(F.array(*results)).alias("_r")).select("_r.*"))
+    return totals, results
+
+
+def _unique_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many rows repeat a key.  Counts are combined before they are shuffled."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeats = per_key.agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_repeats"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")
+    )
+    row = _result("unique", ",".join(keys), F.col("_repeats"), F.col("_total"))
+    return repeats.select(row.alias("_r")).select("_r.*")
+
+
+def quality_report(df: DataFrame, expect: Expectations) -> DataFrame:
+    """Rows ``(check, column, failed, total, passed)``.
+
+    All column checks come from one aggregate over the table; uniqueness needs
+    a second one by key.
+    """
+    totals, results = _column_checks(df, expect)
+    reports = [totals.select(F.explode(F.array(*results)).alias("_r")).select("_r.*")] if results else []
     if expect.unique:
-        per_key = df.groupBy(*expect.unique).agg(F.count(F.lit(1)).alias("_n"))
-        repeats = per_key.agg(
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_repeats"),
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
-        )
-        row = _result("unique", ",".join(expect.unique), F.col("_repeats"), F.col("_total"))
-        reports.append(repeats.select(row.alias("_r")).select("_r.*"))
+        reports.append(_unique_check(df, expect.unique))
     if not reports:
         raise ValueError("nothing to check")
     return union_batches(reports)
@@ -72,7 +81,15 @@ def health_report(tables: Mapping[str, tuple[DataFrame, str | None, Expectations
     parts = []
     for name, (df, ingested, expect) in tables.items():
         newest = F.max(F.col(ingested)).cast("timestamp") if ingested else F.lit(None).cast("timestamp")
-        size = df.agg(F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
-        checks = quality_report(df, expect).agg((F.count_if("passed") / F.count(F.lit(1))).alias("pass_rate"))
-        parts.append(size.select(F.lit(name).alias("table"), "rows", "newest", checks.scalar().alias("pass_rate")))
+        totals, results = _column_checks(df, expect, newest.alias("_newest"))
+        verdicts = [r.getField("passed") for r in results]
+        if expect.unique:
+            verdicts.append(_unique_check(df, expect.unique).select("passed").scalar())
+        if not verdicts:
+            raise ValueError(f"nothing to check in {name}")
+        passed = reduce(lambda a, b: a + b, [v.cast("int") for v in verdicts])
+        parts.append(totals.select(
+            F.lit(name).alias("table"), F.col("_total").alias("rows"), F.col("_newest").alias("newest"),
+            (passed / len(verdicts)).alias("pass_rate"),
+        ))
     return union_batches(parts)

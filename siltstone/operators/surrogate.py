@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.matching import same
 from siltstone.operators.slices import POSITION, SLICE, slice_offsets, sorted_slices
+from siltstone.session import materialise
 
 
 def number_members(members: DataFrame, natural_key: Sequence[str], key: str, start: int = 0) -> DataFrame:
@@ -31,9 +32,9 @@ def assign_keys(
     if previous is None:
         return number_members(members, natural_key, key)
     old = previous.select(*natural_key, key).alias("p")
-    on = same("m", "p", natural_key)
-    known = members.alias("m").join(old, on, "inner").select("m.*", f"p.{key}")
-    new = members.alias("m").join(old, on, "left_anti")
+    matched = members.alias("m").join(old, same("m", "p", natural_key), "left").select("m.*", f"p.{key}")
+    matched = materialise(matched, "members")
+    new = matched.where(F.col(key).isNull()).drop(key)
     highest = previous.agg(F.max(key)).first()[0]
     start = 0 if highest is None else highest + 1
-    return known.unionByName(number_members(new, natural_key, key, start))
+    return matched.where(F.col(key).isNotNull()).unionByName(number_members(new, natural_key, key, start))

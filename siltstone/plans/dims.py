@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siltstone.functions.cleaning import banded, normalised, part, with_audit
 from siltstone.functions.nested import lookup
 from siltstone.functions.timekeys import date_key
-from siltstone.operators.dedup import dedup_latest, distinct_values
+from siltstone.operators.dedup import dedup_latest, distinct_values, latest_attributes
 from siltstone.operators.surrogate import assign_keys
 from siltstone.schemas import (
     GOOD_SERVICE, HOUR_BANDS, LINE_COLOURS, OTHER_HOURS, OTHER_SEVERITY, PEAK_HOURS, SEVERITY_BANDS,
@@ -74,7 +74,7 @@ def dim_time(spark: SparkSession, at: str | None = None) -> DataFrame:
 
 def dim_line(line_status: DataFrame, previous: DataFrame | None = None, at: str | None = None) -> DataFrame:
     """Lines, by the newest status reading of each."""
-    newest = dedup_latest(line_status.select("id", "name", "modeName", "_ingested_at"), ["id"], ["_ingested_at"])
+    newest = latest_attributes(line_status, ["id"], ["name", "modeName"], "_ingested_at")
     members = newest.select(
         F.col("id").alias("line_id"), F.col("name").alias("line_name"), F.col("modeName").alias("mode_name")
     )
@@ -93,7 +93,7 @@ def dim_station(
 
     Both sides are reduced to one row per station before they are joined.
     """
-    seen = dedup_latest(arrivals.select("naptanId", "stationName", "timestamp"), ["naptanId"], ["timestamp"])
+    seen = latest_attributes(arrivals, ["naptanId"], ["stationName"], "timestamp")
     names = seen.select(F.col("naptanId").alias("naptan_id"), F.col("stationName").alias("station_name"))
     stops = dedup_latest(
         stoppoints.select(
@@ -128,10 +128,7 @@ def dim_zone(stoppoints: DataFrame, previous: DataFrame | None = None, at: str |
 
 def dim_disruption(line_status: DataFrame, previous: DataFrame | None = None, at: str | None = None) -> DataFrame:
     """Severity codes; a missing code is a member of its own, in band "Unknown"."""
-    newest = dedup_latest(
-        line_status.select("statusSeverity", "statusSeverityDescription", "_ingested_at"),
-        ["statusSeverity"], ["_ingested_at"],
-    )
+    newest = latest_attributes(line_status, ["statusSeverity"], ["statusSeverityDescription"], "_ingested_at")
     code = F.col("severity_code")
     df = newest.select(
         F.col("statusSeverity").alias("severity_code"),

@@ -31,17 +31,20 @@ def refresh_silver(spark: SparkSession, feed: str, bronze: str, path: str, at: s
     return seen
 
 
-def covered_days(*times: DataFrame) -> tuple[date, date] | None:
-    """First and last day of the given one-column frames of times."""
-    spans = [
-        t.agg(F.min(F.unix_micros(t.columns[0])).alias("a"), F.max(F.unix_micros(t.columns[0])).alias("b")).first()
-        for t in times
-    ]
-    known = [x for span in spans for x in span if x is not None]
-    if not known:
+def covered_days(times: DataFrame) -> tuple[date, date] | None:
+    """First and last day of a one-column frame of times."""
+    t = F.unix_micros(times.columns[0])
+    first, last = times.agg(F.min(t), F.max(t)).first()
+    if first is None:
         return None
-    first, last = (datetime.fromtimestamp(t // 1_000_000, timezone.utc).date() for t in (min(known), max(known)))
-    return first, last
+    return tuple(datetime.fromtimestamp(x // 1_000_000, timezone.utc).date() for x in (first, last))
+
+
+def filed_days(*tables: DataFrame) -> tuple[date, date] | None:
+    """First and last day under which rows are filed; reads no column but the folders."""
+    day = F.when(F.col("_day").isNotNull(), F.struct(*PARTITION_COLUMNS))
+    ends = [x for t in tables for x in t.agg(F.min(day), F.max(day)).first() if x is not None]
+    return (date(*min(ends)), date(*max(ends))) if ends else None
 
 
 def refresh_dimension(path: str, build, *inputs: DataFrame, at: str | None = None) -> None:
@@ -67,7 +70,7 @@ def refresh(
     paths |= {name: f"{gold_root}/facts/{name}" for name in FACTS}
 
     arrivals, line_status, stoppoints = (read_table(spark, paths[f]) for f in ("arrivals", "line_status", "stoppoints"))
-    span = covered_days(arrivals.select("timestamp"), line_status.select("_ingested_at"))
+    span = filed_days(arrivals, line_status)
     if span is not None:
         write_dimension(dims.dim_date(spark, *span, holidays, at), paths["dim_date"])
     write_dimension(dims.dim_time(spark, at), paths["dim_time"])

@@ -74,12 +74,16 @@ def silver_stream(table: SilverTable, stream: DataFrame, delay: str, at: str | N
 
 def upsert_stream(
     df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], newest: Sequence[str],
-    columns: Sequence[str] = PARTITION_COLUMNS,
+    columns: Sequence[str] = PARTITION_COLUMNS, filed_by_key: bool = False,
 ) -> StreamingQuery:
-    """Merge each micro-batch into a table; a batch that is replayed changes nothing."""
+    """Merge each micro-batch into a table; a batch that is replayed changes nothing.
+
+    The file sink keeps a log of its own files and readers trust only that, so
+    a table that batch jobs also write, a backfill for one, is fed this way.
+    """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(path, batch, keys, newest, columns)
+        upsert_table(path, batch, keys, newest, columns, filed_by_key)
 
     query = (
         df.writeStream.foreachBatch(merge)

@@ -172,7 +172,7 @@ def stream_upsert(spark, sf_dir):
     path = scratch_path(spark, "silver")
     stream = streaming.read_feed_stream(spark, landed(spark, sf_dir), feed_schema("arrivals"))
     rows = silver.finish(table.clean(stream), table, AT)
-    streaming.upsert_stream(rows, path, checkpoint(spark), table.keys, table.newest)
+    streaming.upsert_stream(rows, path, checkpoint(spark), table.keys, table.newest, filed_by_key=table.filed_by_key)
     return read_table(spark, path)
 
 
@@ -187,18 +187,16 @@ def stream_late_data(spark, sf_dir):
     the backfill, which leaves the table as if nothing had been late.
     """
     bronze, path, state = scratch_path(spark, "bronze"), scratch_path(spark, "silver"), checkpoint(spark)
+    table, schema = silver.TABLES["arrivals"], feed_schema("arrivals")
     predictions = feeds.arrivals(spark, sf_dir)
-    schema = feed_schema("arrivals")
     late = F.col("towards") == "error "
     for delivery in (predictions.where(~late), predictions.where(late)):
         raw.land(delivery, bronze, "_ingested_at")
-        stream = streaming.read_feed_stream(spark, bronze, schema)
-        streaming.write_available(streaming.silver_stream(silver.TABLES["arrivals"], stream, "5 days", AT), path, state)
-    streamed = materialise(read_table(spark, path).select("id", F.lit(1).alias("in_time")), "streamed")
+        rows = streaming.silver_stream(table, streaming.read_feed_stream(spark, bronze, schema), "5 days", AT)
+        streaming.upsert_stream(rows, path, state, table.keys, table.newest, filed_by_key=table.filed_by_key)
+    in_time = materialise(read_table(spark, path).select("id", F.lit(True).alias("in_time")), "streamed")
     span = refresh.covered_days(predictions.select(F.try_to_timestamp("timestamp").alias("t")))
-    rebuilt = scratch_path(spark, "silver")
-    refresh.backfill(spark, "arrivals", bronze, rebuilt, *span, at=AT)
-    whole = read_table(spark, rebuilt).join(streamed, "id", "left")
-    return whole.groupBy(F.dayofmonth("timestamp").alias("day")).agg(
+    refresh.backfill(spark, "arrivals", bronze, path, *span, at=AT)
+    return read_table(spark, path).join(in_time, "id", "left").groupBy(F.dayofmonth("timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("in_time").isNull()).alias("late")
     )
