@@ -29,8 +29,14 @@ def count_items_where(array: Column | str, field: str, value: str) -> Column:
 
 
 def property_value(array: Column | str, key: str) -> Column:
-    """Value of the first ``{key, value}`` entry with this key, or null."""
-    return F.get(F.filter(array, lambda item: item.getField("key") == key), F.lit(0)).getField("value")
+    """Value of the first ``{key, value}`` entry with this key, or null.
+
+    A position search over the keys compiles to plain code, where a filter with
+    a lambda would be interpreted for every property of every row.
+    """
+    entries = F.col(array) if isinstance(array, str) else array
+    position = F.array_position(entries.getField("key"), key).cast("int")
+    return F.get(entries.getField("value"), position - 1)
 
 
 def property_columns(array: Column | str, keys: Sequence[str]) -> list[Column]:

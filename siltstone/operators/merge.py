@@ -134,7 +134,7 @@ def scd2_from_history(
     sliced = sorted_slices(readings, order)
     before = with_neighbour(sliced, keys, tracked, "_before", -1)
     repeated = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_before.{c}")) for c in tracked], F.lit(True))
-    points = before.where(F.col("_before").isNull() | ~repeated).drop("_before")
+    points = materialise(before.where(F.col("_before").isNull() | ~repeated).drop("_before"), "versions")
     after = with_neighbour(points, keys, [time], "_after", 1)
     return after.select(
         *keys, *tracked,

@@ -55,8 +55,9 @@ def with_neighbour(
     across = F.col(SLICE).asc() if step < 0 else F.col(SLICE).desc()
     whole = F.struct(*dict.fromkeys([*keys, *columns]))
 
-    edge_of = F.max_by if step < 0 else F.min_by
-    edges = sliced.groupBy(SLICE).agg(edge_of(whole, F.col(POSITION)).alias("_edge"))
+    end = (F.max if step < 0 else F.min)(POSITION).alias(POSITION)
+    ends = F.broadcast(sliced.groupBy(SLICE).agg(end))
+    edges = sliced.join(ends, [SLICE, POSITION]).select(SLICE, whole.alias("_edge"))
     carried = edges.select(SLICE, F.lag("_edge").over(Window.orderBy(across)).alias("_edge"))
 
     beside = F.lag(whole).over(Window.partitionBy(SLICE).orderBy(towards))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.timekeys import in_days
 from siltstone.operators.merge import upsert_table
+from siltstone.operators.starjoin import fits_broadcast
 from siltstone.plans import dims, facts, silver
 from siltstone.schemas import feed_schema
 from siltstone.session import materialise
@@ -82,9 +83,15 @@ def refresh(
     dim_time, dim_line, dim_station, dim_disruption = (
         read_table(spark, paths[d]) for d in ("dim_time", "dim_line", "dim_station", "dim_disruption")
     )
-    write_partitioned(facts.fact_arrivals(arrivals, dim_time, dim_line, dim_station, at), paths["fact_arrivals"])
+    # A fact is filed by the day of its cleaned rows; broadcast joins leave those in place.
+    small = {d: fits_broadcast(read_table(spark, paths[d])) for d in ("dim_line", "dim_station", "dim_disruption")}
     write_partitioned(
-        facts.fact_line_status(line_status, dim_time, dim_line, dim_disruption, at), paths["fact_line_status"]
+        facts.fact_arrivals(arrivals, dim_time, dim_line, dim_station, at),
+        paths["fact_arrivals"], filed=small["dim_line"] and small["dim_station"],
+    )
+    write_partitioned(
+        facts.fact_line_status(line_status, dim_time, dim_line, dim_disruption, at),
+        paths["fact_line_status"], filed=small["dim_line"] and small["dim_disruption"],
     )
     return paths
 

@@ -25,16 +25,19 @@ def write_partitioned(
     mode: str = "overwrite",
     only_touched: bool = False,
     fmt: str = "parquet",
+    filed: bool = False,
 ) -> None:
     """Write a table in folders.
 
     Rows are rebalanced by folder first: small folders get one file instead of
     one per task, and a folder with a large share of the rows is split over
-    many tasks.  With ``only_touched`` an overwrite keeps the folders that the
-    new rows do not mention.
+    many tasks.  Rows that come from a table in the same folders and were not
+    shuffled since are ``filed`` already and spared that shuffle.  With
+    ``only_touched`` an overwrite keeps the folders that the new rows do not
+    mention.
     """
     (
-        df.hint("rebalance", *columns)
+        (df if filed else df.hint("rebalance", *columns))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
         .partitionBy(*columns)

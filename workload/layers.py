@@ -47,7 +47,9 @@ def silver_line_status_per_poll(spark, sf_dir):
 
 @query(sql.BIKEPOINTS)
 def silver_bikepoint(spark, sf_dir):
-    return silver.bikepoints(feeds.bikepoints(spark, sf_dir), AT)
+    # Written first, as a landed feed is: an array built in the same plan would
+    # be built again for each property taken from it.
+    return silver.bikepoints(materialise(feeds.bikepoints(spark, sf_dir), "bikepoints"), AT)
 
 
 @query(sql.STOPPOINTS)

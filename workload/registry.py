@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from siltstone.session import use_utc
+from siltstone.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         @wraps(run)
         def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain_times(run(use_utc(spark), sf_dir.rstrip("/")))
+            return plain_times(run(configure(spark), sf_dir.rstrip("/")))
 
         QUERIES[run.__name__] = wrapped
         if sql is not None:
