@@ -1,0 +1,138 @@
+"""Deduplication, keys, joins, slices: results that must not depend on how rows are placed."""
+
+import random
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from siltstone.operators import starjoin
+from siltstone.operators.dedup import dedup_latest, distinct_values, latest_attributes
+from siltstone.operators.slices import sorted_slices, with_neighbour
+from siltstone.operators.starjoin import Lookup, heavy_keys, lookup_join, measured_size, salted_left_join, star_join
+from siltstone.operators.surrogate import assign_keys, number_members
+
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@few
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3), st.integers(0, 9)), max_size=30))
+def test_dedup_survivor_is_fixed(spark, data):
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    best = {}
+    for k, t, v in data:
+        if k not in best or (-t, v) < best[k]:
+            best[k] = (-t, v)
+    expected = sorted(((k, -t, v) for k, (t, v) in best.items()), key=repr)
+    for parts in (1, 5):
+        once = dedup_latest(df.repartition(parts), ["k"], ["t"])
+        assert rows(once) == expected
+        assert rows(dedup_latest(once, ["k"], ["t"])) == expected
+
+
+def test_dedup_handles_nested_and_map_columns(spark):
+    df = spark.createDataFrame([(1, {"a": 2}, [1]), (1, {"a": 1}, [2])], "k int, m map<string,int>, xs array<int>")
+    assert dedup_latest(df, ["k"]).first()["m"] == {"a": 1}
+
+
+def test_dedup_trims_before_the_shuffle(spark, capsys):
+    dedup_latest(spark.range(10).withColumn("k", F.col("id") % 3), ["k"], ["id"]).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_latest_attributes_agrees_with_dedup(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("a", "w", 2), ("b", None, 1)], "k string, v string, t int")
+    assert rows(latest_attributes(df, ["k"], ["v"], "t").select("k", "v", "t")) == rows(dedup_latest(df, ["k"], ["t"]))
+
+
+def test_distinct_values(spark):
+    df = spark.createDataFrame([("1",), ("1",), (None,), ("2/3",)], "zone string")
+    assert rows(distinct_values(df, "zone")) == [("1",), ("2/3",)]
+
+
+def test_keys_are_dense_and_in_order(spark):
+    names = [f"n{i:04d}" for i in range(500)]
+    shuffled = random.Random(1).sample(names, len(names))
+    for parts in (1, 7):
+        df = spark.createDataFrame([(x,) for x in shuffled], "name string").repartition(parts)
+        assert rows(number_members(df, ["name"], "key")) == [(x, i) for i, x in enumerate(names)]
+
+
+def test_refresh_keeps_known_keys(spark):
+    old = spark.createDataFrame([("b",), ("d",), (None,)], "n string")
+    first = assign_keys(old, ["n"], "key")
+    assert rows(first) == [("b", 1), ("d", 2), (None, 0)]
+    grown = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,)], "n string")
+    assert rows(assign_keys(grown, ["n"], "key", first)) == [("a", 3), ("b", 1), ("c", 4), ("d", 2), (None, 0)]
+    assert rows(assign_keys(old, ["n"], "key", first.limit(0))) == rows(first)
+
+
+@few
+@given(data=st.sets(st.tuples(st.sampled_from([1, 1, 1, 2]), st.integers(0, 60), st.integers(0, 2)), min_size=1, max_size=60), parts=st.sampled_from([1, 6]))
+def test_neighbours_cross_slices(spark, data, parts):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        sliced = sorted_slices(spark.createDataFrame(list(data), "k int, t int, v int"), ["k", "t", "v"])
+        both = with_neighbour(with_neighbour(sliced, ["k"], ["t", "v"], "before", -1), ["k"], ["t"], "after", 1)
+        got = rows(both, "k", "t", "v", "before.t", "before.v", "after.t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    ordered = sorted(data)
+    expected = []
+    for i, (k, t, v) in enumerate(ordered):
+        b = ordered[i - 1] if i and ordered[i - 1][0] == k else (None, None, None)
+        a = ordered[i + 1] if i + 1 < len(ordered) and ordered[i + 1][0] == k else (None, None, None)
+        expected.append((k, t, v, b[1], b[2], a[1]))
+    assert got == sorted(expected, key=repr)
+
+
+def fact(spark, heavy=300):
+    data = [(i, "hot") for i in range(heavy)] + [(heavy + i, f"k{i % 50}") for i in range(heavy)] + [(-i - 1, None) for i in range(200)]
+    return spark.createDataFrame(data, "id int, k string")
+
+
+def dim(spark):
+    return spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(40)], "name string, n int")
+
+
+def expected_join(spark):
+    known = {"hot": 1, **{f"k{i}": i for i in range(40)}}
+    return sorted(((r["id"], r["k"], known.get(r["k"])) for r in fact(spark).collect()), key=repr)
+
+
+@pytest.mark.parametrize("limit", [starjoin.BROADCAST_ROWS, 0])
+def test_lookup_join_keeps_every_row_once(spark, monkeypatch, limit):
+    monkeypatch.setattr(starjoin, "BROADCAST_ROWS", limit)
+    out = lookup_join(fact(spark), Lookup(dim(spark), "k", "name", ("n",)), ["id"])
+    assert out.columns == ["id", "k", "n"]
+    assert rows(out) == expected_join(spark)
+
+
+def test_heavy_keys_are_found_and_cut(spark):
+    pieces = heavy_keys(fact(spark), "k", share=5)
+    found = {r["_heavy"]: r["_pieces"] for r in pieces.collect()}
+    assert set(found) == {"hot", None} and min(found.values()) >= 2
+    out = salted_left_join(fact(spark), dim(spark), "k", "name", ["id"], pieces)
+    assert rows(out, "id", "k", "n") == expected_join(spark)
+
+
+def test_dimension_is_broadcast_only_when_small(spark, monkeypatch, capsys):
+    lookups = [Lookup(dim(spark), "k", "name", ("n",))]
+    star_join(fact(spark), lookups, ["id"]).explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    monkeypatch.setattr(starjoin, "BROADCAST_BYTES", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        star_join(fact(spark), lookups, ["id"]).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [k" in capsys.readouterr().out
+
+
+def test_measured_size_counts_text(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
+    assert measured_size(df) == (2, 2 * 32 + 3)
