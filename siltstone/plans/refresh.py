@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -48,14 +49,60 @@ def filed_days(*tables: DataFrame) -> tuple[date, date] | None:
     return (date(*min(ends)), date(*max(ends))) if ends else None
 
 
-def refresh_dimension(path: str, build, *inputs: DataFrame, at: str | None = None) -> None:
-    """Rebuild a keyed dimension, its known members keeping their keys.
+def table_paths(silver_root: str, gold_root: str) -> dict[str, str]:
+    """Where each table of the cleaned and the star layer is kept."""
+    return {
+        **{feed: f"{silver_root}/{feed}" for feed in silver.TABLES},
+        **{name: f"{gold_root}/dimensions/{name}" for name in DIMENSIONS},
+        **{name: f"{gold_root}/facts/{name}" for name in FACTS},
+    }
 
-    The table is read while its successor is built, so the successor is written
-    elsewhere first.
-    """
-    spark = inputs[0].sparkSession
-    write_dimension(materialise(build(*inputs, read_table_if_any(spark, path), at=at), "dimension"), path)
+
+# Dimensions keyed by their members, and the cleaned tables each is built from.
+MEMBERS = {
+    "dim_line": (dims.dim_line, ("line_status",)),
+    "dim_station": (dims.dim_station, ("stoppoints", "arrivals")),
+    "dim_zone": (dims.dim_zone, ("stoppoints",)),
+    "dim_disruption": (dims.dim_disruption, ("line_status",)),
+}
+
+# Facts, the cleaned table each is built from and the dimensions it is joined to.
+STARS = {
+    "fact_arrivals": (facts.fact_arrivals, "arrivals", ("dim_time", "dim_line", "dim_station")),
+    "fact_line_status": (facts.fact_line_status, "line_status", ("dim_time", "dim_line", "dim_disruption")),
+}
+
+
+def refresh_dimension(
+    spark: SparkSession, name: str, paths: Mapping[str, str], holidays: DataFrame | None = None, at: str | None = None
+) -> None:
+    """Rebuild one dimension; members it held before keep their keys."""
+    if name == "dim_time":
+        write_dimension(dims.dim_time(spark, at), paths[name])
+    elif name == "dim_date":
+        span = filed_days(*(read_table(spark, paths[source]) for _, source, _ in STARS.values()))
+        if span is not None:
+            write_dimension(dims.dim_date(spark, *span, holidays, at), paths[name])
+    else:
+        build, sources = MEMBERS[name]
+        previous = read_table_if_any(spark, paths[name])
+        members = build(*(read_table(spark, paths[s]) for s in sources), previous, at=at)
+        # The table is read while its successor is built, so that is written elsewhere first.
+        write_dimension(materialise(members, "dimension"), paths[name])
+
+
+def refresh_fact(
+    spark: SparkSession, name: str, paths: Mapping[str, str], at: str | None = None,
+    first: date | None = None, last: date | None = None,
+) -> None:
+    """Rebuild a fact, or only the given days of it."""
+    build, source, dimensions = STARS[name]
+    joined = [read_table(spark, paths[d]) for d in dimensions]
+    rows = build(read_table(spark, paths[source], first=first, last=last), *joined, at)
+    # Cleaned rows are filed by the fact's own day, and broadcast joins leave them in place.
+    write_partitioned(
+        rows, paths[name], only_touched=first is not None or last is not None, filed=all(map(fits_broadcast, joined))
+    )
 
 
 def refresh(
@@ -63,36 +110,13 @@ def refresh(
     holidays: DataFrame | None = None, at: str | None = None,
 ) -> dict[str, str]:
     """Build every table in dependency order and return the path of each."""
-    paths = {}
+    paths = table_paths(silver_root, gold_root)
     for feed in silver.TABLES:
-        paths[feed] = f"{silver_root}/{feed}"
         refresh_silver(spark, feed, f"{bronze_root}/{feed}", paths[feed], at)
-    paths |= {name: f"{gold_root}/dimensions/{name}" for name in DIMENSIONS}
-    paths |= {name: f"{gold_root}/facts/{name}" for name in FACTS}
-
-    arrivals, line_status, stoppoints = (read_table(spark, paths[f]) for f in ("arrivals", "line_status", "stoppoints"))
-    span = filed_days(arrivals, line_status)
-    if span is not None:
-        write_dimension(dims.dim_date(spark, *span, holidays, at), paths["dim_date"])
-    write_dimension(dims.dim_time(spark, at), paths["dim_time"])
-    refresh_dimension(paths["dim_line"], dims.dim_line, line_status, at=at)
-    refresh_dimension(paths["dim_station"], dims.dim_station, stoppoints, arrivals, at=at)
-    refresh_dimension(paths["dim_zone"], dims.dim_zone, stoppoints, at=at)
-    refresh_dimension(paths["dim_disruption"], dims.dim_disruption, line_status, at=at)
-
-    dim_time, dim_line, dim_station, dim_disruption = (
-        read_table(spark, paths[d]) for d in ("dim_time", "dim_line", "dim_station", "dim_disruption")
-    )
-    # A fact is filed by the day of its cleaned rows; broadcast joins leave those in place.
-    small = {d: fits_broadcast(read_table(spark, paths[d])) for d in ("dim_line", "dim_station", "dim_disruption")}
-    write_partitioned(
-        facts.fact_arrivals(arrivals, dim_time, dim_line, dim_station, at),
-        paths["fact_arrivals"], filed=small["dim_line"] and small["dim_station"],
-    )
-    write_partitioned(
-        facts.fact_line_status(line_status, dim_time, dim_line, dim_disruption, at),
-        paths["fact_line_status"], filed=small["dim_line"] and small["dim_disruption"],
-    )
+    for name in DIMENSIONS:
+        refresh_dimension(spark, name, paths, holidays, at)
+    for name in FACTS:
+        refresh_fact(spark, name, paths, at)
     return paths
 
 

@@ -287,3 +287,35 @@ def test_refresh_and_backfill(spark, tmp_path):
     assert rows(read_table(spark, paths["stoppoints"]), "id", "commonName", "_day") == [("N1", "Renamed", 16)]
     refresh.refresh(spark, root, f"{out}/silver", f"{out}/gold", at=AT)
     assert rows(read_table(spark, paths["dim_line"]), "line_id", "line_key") == [("bakerloo", 1), *key]
+
+
+def test_jobs(spark, tmp_path, capsys):
+    from siltstone.__main__ import parser, run
+
+    bronze, out, gold = (str(tmp_path / x) for x in ("bronze", "silver", "gold"))
+    lay(spark, bronze, {
+        "arrivals": [ARRIVAL, {**ARRIVAL, "id": "2", "timestamp": "2024-06-16T09:00:00"}], "line_status": [{**LINE, "lineStatuses": [status(10)]}],
+        "bikepoints": [{"id": "B1"}], "stoppoints": [STOP], "air_quality": [{"currentForecast": [{"forecastID": "F", "forecastType": "C"}]}],
+        "accidents": [{"id": 1, "date": "2019-01-01T00:00:00Z"}],
+    })
+    roots = ["--bronze", bronze, "--silver", out, "--at", AT]
+
+    def do(*argv):
+        run(spark, parser().parse_args([str(a) for a in argv]))
+
+    do("silver", "arrivals", *roots)
+    assert "arrivals: 2 rows" in capsys.readouterr().out
+    do("refresh", *roots, "--gold", gold)
+    fact = f"{gold}/facts/fact_arrivals"
+    do("gold", "fact_arrivals", "--silver", out, "--gold", gold, "--at", "2024-08-01 00:00:00", "--first", "2024-06-16")
+    stamped = read_table(spark, fact).select("arrival_id", F.month("_gold_processed_at"))
+    assert rows(stamped) == [("1", 7), ("2", 8)]
+    do("backfill", "arrivals", *roots, "--first", "2024-06-15", "--last", "2024-06-16")
+    state = tmp_path / "state"
+    lay(spark, bronze, {"arrivals": [{**ARRIVAL, "id": "3"}]})
+    for _ in range(2):
+        do("stream", "arrivals", *roots, "--state", state)
+    assert rows(read_table(spark, f"{out}/arrivals"), "id") == [("1",), ("2",), ("3",)]
+    do("quarantine", "arrivals", "--bronze", bronze, "--to", tmp_path / "bad")
+    do("health", "--silver", out)
+    assert "|arrivals   |3   |" in capsys.readouterr().out
