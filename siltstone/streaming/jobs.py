@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.operators.merge import upsert_table
+from siltstone.operators.starjoin import STREAM_SALTS
 from siltstone.plans.silver import SilverTable, finish
 from siltstone.sources.feeds import DAY_FOLDERS, with_day_folders
 
@@ -66,10 +67,26 @@ def land_stream(df: DataFrame, path: str, checkpoint: str, time_column: str) ->
     return write_available(with_day_folders(df, time_column), path, checkpoint, DAY_FOLDERS, fmt="json")
 
 
-def silver_stream(table: SilverTable, stream: DataFrame, delay: str, at: str | None = None) -> DataFrame:
+def drop_copies(stream: DataFrame, keys: Sequence[str], salts: int = STREAM_SALTS) -> DataFrame:
+    """Keep one row per key within the watermark the stream carries.
+
+    A first pass drops copies among the rows of the same input tasks, so that a
+    key with a large share of the rows is not handled by one task alone; the
+    second pass sees at most ``salts`` rows of a key per batch.  With
+    ``salts=0`` there is only the second pass, which needs half the state.
+    """
+    if salts:
+        salted = stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        stream = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return stream.dropDuplicatesWithinWatermark(list(keys))
+
+
+def silver_stream(
+    table: SilverTable, stream: DataFrame, delay: str, at: str | None = None, salts: int = STREAM_SALTS
+) -> DataFrame:
     """Clean a feed as it arrives, dropping copies of a key within the watermark."""
     clean = table.clean(stream).withWatermark(table.time, delay)
-    return finish(clean.dropDuplicatesWithinWatermark(list(table.keys)), table, at)
+    return finish(drop_copies(clean, table.keys, salts), table, at)
 
 
 def upsert_stream(
