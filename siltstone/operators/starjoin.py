@@ -18,6 +18,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, so there
 # are fewer than HEAVY_SHARE such keys whatever the size of the fact.
 HEAVY_SHARE = 1_000
+# Pieces are hashed to partitions, so they are cut finer than one partition's
+# worth of rows: several small ones meet in a task without overfilling it.
+PIECES_PER_PARTITION = 8
 STREAM_SALTS = 32
 
 
@@ -63,15 +66,14 @@ def heavy_keys(fact: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame
     """Keys above 1/``share`` of the rows with the number of pieces to cut each into.
 
     Counts are combined before the shuffle, and what comes back to the driver
-    is fewer than ``share`` rows.  A piece is about one shuffle partition's
-    worth of rows.
+    is fewer than ``share`` rows.
     """
     spark = fact.sparkSession
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     heavy = counts.withColumn("_share", F.col("_rows") / total).where(F.col("_share") * share > 1)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = F.greatest(F.lit(2), F.ceil(F.col("_share") * partitions)).cast("int")
+    pieces = F.greatest(F.lit(2), F.ceil(F.col("_share") * partitions * PIECES_PER_PARTITION)).cast("int")
     rows = heavy.select(F.col(key).alias("_heavy"), pieces.alias("_pieces")).collect()
     schema = T.StructType([T.StructField("_heavy", fact.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])
     return spark.createDataFrame(rows, schema)
