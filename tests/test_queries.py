@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 import oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = driver.QUERIES, driver.ORACLES
 
 
 @pytest.fixture(scope="module")
