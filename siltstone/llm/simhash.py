@@ -40,6 +40,9 @@ SEGMENTS = ((42, 22), (21, 21), (0, 21))
 
 _CHUNK = 1 << 16
 
+#: Shared keys that are broadcast at most (16 bytes each); more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
 
 def fingerprint(text: bytes | None, size: int = SHINGLE_WORDS) -> int:
     """The unsigned fingerprint of one text; zero without words."""
@@ -96,11 +99,15 @@ def golay_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for y in range(3):
             if x != y:
                 k, r = _product(one * (3 * x + y), (bits[x][:, None], one), near[y])
-                keys.append(k), rows.append(r), sides.append(np.full(len(k), 2, np.int8))
+                keys.append(k)
+                rows.append(r)
+                sides.append(np.full(len(k), 2, np.int8))
             if x < y:
                 ends = [(near[s][0], np.where(odd[s] == 1, 1, near[s][1])) for s in (x, y)]
                 k, r = _product(9 + 2 * (x + y - 1) + (odd[x] ^ odd[y]), *ends)
-                keys.append(k), rows.append(r), sides.append(odd[x][r].astype(np.int8))
+                keys.append(k)
+                rows.append(r)
+                sides.append(odd[x][r].astype(np.int8))
     return np.concatenate(keys), np.concatenate(rows), np.concatenate(sides)
 
 
@@ -132,6 +139,11 @@ def _mixed(value: str):
     return (F.min("side") < F.max("side")) | ((F.min("side") == 2) & (F.min(value) < F.max(value)))
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """The table to be broadcast if it is small enough, else to be joined by shuffle."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def link_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows (fp, root): for each linked fingerprint of the distinct column ``fp`` a common member of its class.
 
@@ -142,7 +154,8 @@ def link_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError("the keys find links of four bits at most")
     keys = _keyed(prints, ["fp"])
     shared = keys.groupBy("key").agg(F.min("fp").alias("least"), _mixed("fp").alias("_mixed")).where("_mixed")
-    buckets = materialise(keys.join(materialise(shared.select("key", "least"), "shared"), "key"), "buckets")
+    shared = materialise(shared.select("key", "least"), "shared")
+    buckets = materialise(keys.join(_sized(shared), "key"), "buckets")
 
     stars = buckets.where((F.col("fp") != F.col("least")) & (_differing("fp", "least") <= max_bits))
     first = materialise(components(stars.select(F.col("fp").alias("a"), F.col("least").alias("b"))), "first")
