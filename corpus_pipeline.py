@@ -1,27 +1,105 @@
-"""From raw documents to token ids, in stages that each read what the one before wrote."""
+"""From raw documents to token ids, in stages that each read what the one before wrote.
+
+A document is a row; rows with equal ``doc_id`` and equal text are copies of one.
+Rows without an id are told apart by their texts.  Extra columns pass through all
+stages but the last.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from siltstone.llm import bpe, decontaminate, quality, secret_scan, simhash
+from siltstone.session import configure, materialise, scratch_path
+
+#: Rows of a side table that are broadcast at most; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+ROW = "__row"
+
+
+def row_key() -> Column:
+    """What tells documents apart: absent ids last, then ids, then the text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", F.xxhash64("text").alias("version"))
+
+
+def sized(table: DataFrame) -> DataFrame:
+    """The written table, to be broadcast only if it is small enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs``, which has its row key, without the rows named; the key goes."""
+    gone = sized(materialise(rows.select(F.col(ROW).alias("_gone")).distinct(), "gone"))
+    return docs.join(gone, docs[ROW].eqNullSafe(gone["_gone"]), "left_anti").drop(ROW)
 
-from siltstone.llm import simhash
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the fixed rule or their group's fences reject go."""
+    keyed = docs.withColumn(ROW, row_key())
+    return without(keyed, quality.judge(keyed, [ROW]).where(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each class of near-duplicates the document with the least id."""
-    classes = simhash.near_duplicates(docs)
-    keep = classes.where("doc_id <=> component_id").select("doc_id").distinct()
-    one = docs.dropDuplicates(["doc_id"])
-    return one.join(keep, one["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
+    """Of each class of near-duplicates the document with the least id stays, and one copy of it."""
+    keyed = docs.withColumn(ROW, row_key())
+    left = without(keyed, simhash.duplicates(keyed, ROW)).withColumn(ROW, row_key())
+    repeated = materialise(keyed.groupBy(ROW).count().where("count > 1").select(F.col(ROW).alias("_again")), "repeated")
+    if repeated.isEmpty():
+        return left.drop(ROW)
+    # Only rows that repeat exactly are dealt out by key to keep one of each.
+    again = sized(repeated)
+    same = left[ROW].eqNullSafe(again["_again"])
+    once = left.join(again, same, "left_semi").dropDuplicates([ROW])
+    return left.join(again, same, "left_anti").unionByName(once).drop(ROW)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    keyed = docs.withColumn(ROW, row_key())
+    return without(keyed, decontaminate.contaminated(keyed, items, ROW))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets that look live are masked in the texts; widely copied examples stay."""
+    keyed = docs.withColumn(ROW, row_key())
+    found = secret_scan.scan(keyed, ROW).select(
+        F.col(ROW).alias("_found"), F.filter("spans", lambda s: s["live"]).alias("_live")
+    ).where(F.size("_live") > 0)
+    found = sized(materialise(found, "secrets"))
+    joined = keyed.join(found, keyed[ROW].eqNullSafe(found["_found"]), "left")
+    hit = F.col("_live").isNotNull()
+    result = joined.withColumn("text", F.when(hit, secret_scan.redact(F.col("text"), F.col("_live"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:  # of the masked text
+        result = result.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return result.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-STAGES = [("near_dedup", near_dedup)]
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and digests of them and of what they decode to."""
+    decoded = bpe.decode(bpe.encode(docs), ["doc_id", "ids"])
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("bpe_encoding", bpe_encoding),
+]
+
+#: Byte-pair encoding cannot be said in SQL; the tests run the stages against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from siltstone.session import configure, scratch_path
-
+    """All stages over the documents, each written and read again."""
     docs = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         made = stage(spark, docs, sf_dir)

@@ -46,9 +46,9 @@ class Measure:
 
 
 MEASURES = (
-    Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 30),
+    Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 20),
     Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 100),
-    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 60),
+    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 75),
     Measure("long_words", "100 * word_chars div greatest(n_words, 1)", 200),
     Measure("short_words", "100 * word_chars div greatest(n_words, 1)", 50, upper=False),
 )

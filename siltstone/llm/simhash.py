@@ -179,6 +179,12 @@ def link_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return materialise(both.unionByName(single), "classes")
 
 
+def with_class(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``prints`` with ``root``, one value for all rows whose column ``fp`` is in the same class."""
+    linked = link_fingerprints(prints.select("fp").distinct(), max_bits)
+    return prints.join(_sized(linked), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
@@ -191,8 +197,15 @@ def near_duplicates(
     """
     prints = materialise(fingerprints(docs, key, text, "fp"), "fingerprints")
     firsts = materialise(prints.groupBy("fp").agg(F.min(key).alias("_first")), "firsts")
-    linked = link_fingerprints(firsts, max_bits)
-    rooted = firsts.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = with_class(firsts, max_bits)
     least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
     by_print = materialise(rooted.join(least, "root").select("fp", "component_id"), "by_print")
     return prints.join(by_print, "fp").select(key, F.col("fp").alias("fingerprint"), "component_id")
+
+
+def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """The distinct keys of rows that are a near-duplicate of one with a lesser key; keys may be structs."""
+    prints = materialise(fingerprints(docs, key, text, "fp"), "fingerprints")
+    rooted = materialise(with_class(prints, max_bits), "rooted")
+    least = rooted.groupBy("root").agg(F.min(key).alias("_least"), F.count("*").alias("_n")).where("_n > 1")
+    return rooted.join(least, "root").where(~F.col(key).eqNullSafe(F.col("_least"))).select(key).distinct()

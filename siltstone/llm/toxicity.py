@@ -6,15 +6,17 @@ counts the subsequences of four letters they share, gaps of up to two letters
 allowed, each occurrence weighing ``DECAY`` to the power of its length; so an
 insult with a letter put in or a new ending stays close to what was learnt.
 
-Units of labelled sentences train the machine.  Which words of a toxic text are
-the insults is not labelled: units that occur in toxic texts far more often than
-chance allows stand for insulting sentences, units of clean texts for clean ones.
+Units of labelled sentences train the machine, a sentence having the label of
+its text.  Which words are the insults is not labelled: units that occur in
+distinct toxic sentences far more often than chance allows stand for insulting
+sentences, units of clean ones for clean sentences.
 Landmarks taken from both span the features (Nyström); the trained machine is
 then a single weight for each subsequence, so scoring a unit is a table look-up.
 The hardest clean units found by a first machine train a second one.
 
-A text is as toxic as its most toxic unit; a logistic curve, fitted to labelled
-texts, turns that margin into a probability.
+A text's units are a bag: its two greatest margins, the number of its units on
+the machine's wrong side and its length go into a logistic curve, fitted to
+labelled texts, that gives the probability.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from siltstone.llm.arrow import SLICE_ROWS, importable, texts, with_texts
@@ -42,8 +45,8 @@ CLEAN_UNITS = 6000
 HARD_UNITS = 2000
 LANDMARKS = 96
 
-#: Least evidence (G statistic) that a unit is tied to toxic texts.
-LEAST_EVIDENCE = 12.0
+#: Evidence (G statistic) that ties a unit to toxic texts where none has as much as chance may give.
+LEAST_EVIDENCE = 8.0
 
 PREDICTED_FROM = 0.7
 
@@ -53,6 +56,7 @@ PIECE, OVERLAP = 48, 8
 CACHE_TOKENS = 400_000
 
 _BEGIN, _END = 62, 63
+_SENTENCE_END = re.compile(rb"(?<=[.!?])\s+|\n")
 _SPACED = re.compile(r"(?<!\S)(?:\w\W*\s+){3,}\w\W*(?!\S)")
 
 
@@ -147,12 +151,12 @@ def kernel(units: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Machine:
-    """Landmarks with their weights, the bias, and the logistic curve over margins."""
+    """Landmarks with their weights, the bias, and the logistic curve over a text's ``FEATURES``."""
 
     landmarks: tuple[str, ...]
     weights: tuple[float, ...]
     bias: float
-    slope: float = 1.0
+    slopes: tuple[float, ...] = ()
     shift: float = 0.0
 
     def table(self) -> np.ndarray:
@@ -187,49 +191,55 @@ def fit_machine(insults: Sequence[str], clean: Sequence[str], insult_weight: np.
     return Machine(tuple(marks), tuple((whiten @ w[:-1]).tolist()), float(w[-1]))
 
 
-def fit_curve(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve, by Newton steps with targets just inside 0 and 1."""
-    positive, negative = label.sum(), (1 - label).sum()
-    target = np.where(label > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    x = np.stack([margin, np.ones(len(margin))], axis=1)
-    w = np.zeros(2)
+def fit_curve(x: np.ndarray, label: np.ndarray, penalty: float = 1e-3) -> tuple[tuple[float, ...], float]:
+    """Slopes and shift of a logistic curve over standardised columns, by Newton steps."""
+    middle, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
+    z = np.hstack([(x - middle) / spread, np.ones((len(x), 1))])
+    ridge = np.eye(z.shape[1]) * penalty * len(x)
+    ridge[-1, -1] = 1e-9
+    w = np.zeros(z.shape[1])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2) * 1e-3
-        step = np.linalg.solve(hessian, x.T @ (target - p) - 1e-3 * w)
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (label - p) - ridge @ w)
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(w[0], 0.0)), float(w[1])
+    slopes = w[:-1] / spread
+    return tuple(slopes.tolist()), float(w[-1] - slopes @ middle)
 
 
-def _token_rows(labelled: DataFrame) -> DataFrame:
-    """(toxic, unit): the distinct units of every labelled text."""
+def _sentence_units(labelled: DataFrame) -> DataFrame:
+    """(toxic, sentence, unit): the units of each sentence of labelled texts, the sentence as a hash."""
     importable(labelled.sparkSession)
-    schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("unit", T.StringType())])
+    schema = T.StructType([
+        T.StructField("toxic", T.IntegerType()), T.StructField("sentence", T.LongType()), T.StructField("unit", T.StringType()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(at, SLICE_ROWS)
-                marks, units = [], []
+                marks, hashes, units = [], [], []
                 for mark, text in zip(piece.column(0).to_pylist(), texts(piece.column(1))):
-                    found = {unit(t) for t in tokens(text)} - {""}
-                    marks += [mark] * len(found)
-                    units += found
-                yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int32()), pa.array(units, pa.string())], names=schema.names)
+                    for sentence in _SENTENCE_END.split(text or b""):
+                        found = {unit(t) for t in tokens(sentence)} - {""}
+                        marks += [mark] * len(found)
+                        hashes += [xxhash.xxh64_intdigest(sentence.lower()) - (1 << 63)] * len(found)
+                        units += found
+                columns = [pa.array(marks, pa.int32()), pa.array(hashes, pa.int64()), pa.array(units, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return labelled.select("toxic", "text").mapInArrow(run, schema)
 
 
 class _Scorer:
-    """Margins of whole texts; remembers the tokens it has met."""
+    """``FEATURES`` of whole texts; remembers the tokens it has met."""
 
     def __init__(self, machine: Machine):
         self._table, self._bias = machine.table(), machine.bias
         self._known: dict[str, float] = {}
 
-    def __call__(self, batch: Sequence[bytes | None]) -> list[float]:
+    def __call__(self, batch: Sequence[bytes | None]) -> list[Sequence]:
         known = self._known
         if len(known) > CACHE_TOKENS:
             known.clear()
@@ -237,17 +247,22 @@ class _Scorer:
         new = [t for t in set().union(*found) if t not in known]
         units = [unit(t) for t in new]
         known.update(zip(new, margins(units, self._table, self._bias).tolist()))
-        return [max(map(known.__getitem__, f), default=-np.inf) for f in found]
+        out = np.zeros((len(batch), len(FEATURES)))
+        for row, words in zip(out, found):
+            margin = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
+            top = np.sort(np.concatenate([np.partition(margin, -2)[-2:] if len(margin) > 2 else margin, [LOWEST, LOWEST]]))[::-1]
+            row[:] = (max(top[0], LOWEST), max(top[1], LOWEST), np.log1p((margin > 0).sum()), np.log1p(len(words)))
+        return list(out.T)
 
 
-def text_margins(docs: DataFrame, machine: Machine, keep: Sequence[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``margin``, the greatest of any unit of the whole text (empty: minus infinity)."""
+#: What a text is judged by: its greatest and second greatest margin, how many units lie beyond zero, its length.
+FEATURES = ("first", "second", "beyond", "size")
+LOWEST = -3.0
 
-    def make():
-        scorer = _Scorer(machine)
-        return lambda batch: [scorer(batch)]
 
-    return with_texts(docs, keep, text, [T.StructField("margin", T.DoubleType())], make)
+def text_features(docs: DataFrame, machine: Machine, keep: Sequence[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` and the ``FEATURES`` of the whole text over its distinct tokens."""
+    return with_texts(docs, keep, text, [T.StructField(f, T.DoubleType()) for f in FEATURES], lambda: _Scorer(machine))
 
 
 def learn(
@@ -267,13 +282,18 @@ def learn(
     sample = materialise(sample.join(picked, "key").select("toxic", "text"), "sample")
     rows = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = rows.get(1, 0), rows.get(0, 0)
-    flat = Machine((), (), 0.0, 0.0, float(np.log((toxic + 1) / (clean + 1)) - 1.0))
+    flat = Machine((), (), 0.0, (0.0,) * len(FEATURES), float(np.log((toxic + 1) / (clean + 1)) - 1.0))
     if not toxic or not clean:
         return flat
 
-    by_unit = materialise(_token_rows(sample).groupBy("unit").agg(
+    # A sentence counts once however many copies of it there are, and as clean if one text with it is.
+    sentences = _sentence_units(sample).groupBy("unit", "sentence").agg(F.min("toxic").alias("toxic"))
+    by_unit = materialise(sentences.groupBy("unit").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
     ), "units")
+    toxic, clean, units = by_unit.agg(F.sum("toxic"), F.sum("clean"), F.count("*")).first()
+    if not toxic or not clean:
+        return flat
     seen = F.col("toxic") + F.col("clean")
 
     def part(found: str, of: int):
@@ -281,34 +301,40 @@ def learn(
         return F.when(F.col(found) > 0, F.col(found) * F.log(F.col(found) / expected)).otherwise(0.0)
 
     tied = by_unit.withColumn("evidence", 2 * (part("toxic", toxic) + part("clean", clean))).where(
-        (F.col("evidence") >= LEAST_EVIDENCE) & (F.col("toxic") * clean > 4 * F.col("clean") * toxic)
+        F.col("toxic") * clean > 4 * F.col("clean") * toxic
     )
-    insults = tied.orderBy(F.desc("evidence"), "unit").limit(INSULT_UNITS).collect()
-    if not insults:
+    # Chance ties about one of all units as much as twice the logarithm of their number.
+    for least in (2 * np.log(units), LEAST_EVIDENCE):
+        insults = tied.where(F.col("evidence") >= float(least)).orderBy(F.desc("evidence"), "unit").limit(INSULT_UNITS).collect()
+        if insults:
+            break
+    else:
         return flat
     words = [r["unit"] for r in insults]
     weight = np.array([float(r["toxic"]) for r in insults])
-    plain = by_unit.where("clean > 0").join(F.broadcast(tied.select("unit").limit(INSULT_UNITS)), "unit", "left_anti")
+    plain = by_unit.where("clean > 0").join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in words], "unit string")), "unit", "left_anti")
     common = [r["unit"] for r in plain.orderBy(F.desc("clean"), "unit").limit(CLEAN_UNITS // 2).collect()]
     others = [r["unit"] for r in plain.orderBy(F.xxhash64("unit"), "unit").limit(CLEAN_UNITS // 2).collect()]
     ordinary = list(dict.fromkeys([*common, *others]))
 
     first = fit_machine(words, ordinary, weight)
-    scored = text_margins(plain, first, ["unit"], "unit")
-    hard = [r["unit"] for r in scored.orderBy(F.desc("margin"), "unit").limit(HARD_UNITS).collect()]
+    scored = text_features(plain, first, ["unit"], "unit")
+    hard = [r["unit"] for r in scored.orderBy(F.desc("first"), "unit").limit(HARD_UNITS).collect()]
     machine = fit_machine(words, [*ordinary, *hard], weight)
-    marked = text_margins(sample, machine, ["toxic"]).select("toxic", F.greatest("margin", F.lit(-5.0)).alias("margin")).collect()
-    slope, shift = fit_curve(np.array([r["margin"] for r in marked]), np.array([float(r["toxic"]) for r in marked]))
-    return Machine(machine.landmarks, machine.weights, machine.bias, slope, shift)
+    judged = text_features(sample, machine, ["toxic"]).collect()
+    slopes, shift = fit_curve(np.array([r[1:] for r in judged], float), np.array([float(r["toxic"]) for r in judged]))
+    return Machine(machine.landmarks, machine.weights, machine.bias, slopes, shift)
 
 
 def score(docs: DataFrame, machine: Machine, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """Columns ``keep``, ``score`` (0 to 1) and ``predicted`` for every row's whole text.
 
-    Null, empty and blank texts have no unit and score lowest.  Every row is
+    Null, empty and blank texts have no unit and the least margins.  Every row is
     scored on its own, repeated ones too; other columns are not read.
     """
-    found = text_margins(docs, machine, keep, text)
-    logit = F.lit(machine.slope) * F.greatest("margin", F.lit(-5.0)) + F.lit(machine.shift)
-    scored = found.withColumn("score", 1 / (1 + F.exp(-logit))).drop("margin")
+    found = text_features(docs, machine, keep, text)
+    logit = F.lit(machine.shift)
+    for name, slope in zip(FEATURES, machine.slopes):
+        logit = logit + F.lit(slope) * F.col(name)
+    scored = found.withColumn("score", 1 / (1 + F.exp(-logit))).drop(*FEATURES)
     return scored.withColumn("predicted", (F.col("score") >= PREDICTED_FROM).cast("int"))
