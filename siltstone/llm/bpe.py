@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from siltstone.llm.arrow import SLICE_ROWS, importable, with_texts
 
@@ -57,6 +58,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.path = path
         model = spec["model"]
         if model["type"] != "BPE" or model["end_of_word_suffix"] != WORD_END:
             raise ValueError("the vocabulary must be byte pairs with word ends")
@@ -179,14 +181,36 @@ def normalize(text: str) -> str:
     return "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
 
 
+@lru_cache(maxsize=1)
+def _newer() -> re.Pattern:
+    """Letters and numbers that Python's own tables do not know yet; libraries differ on them."""
+    unknown = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
+    found = regex.findall(r"[\p{L}\p{N}\s]", unknown)
+    return re.compile(f"[{re.escape(''.join(found))}]" if found else "(?!)")
+
+
 class Encoder:
     """Whole texts to ids; remembers the ids of words it has met."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._pieces = regex.compile(vocabulary.pattern).findall
+        self._pattern = regex.compile(vocabulary.pattern)
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")")
         self._words: dict[str, list[int]] = {}
+        self._library: Tokenizer | None = None
+
+    def _pieces(self, text: str) -> list[str]:
+        """Words of a text, normalised.
+
+        A text with letters newer than Python's tables is normalised and cut by
+        the library whose file this is, so that both agree on what a letter is.
+        """
+        if not text.isascii() and _newer().search(text):
+            if self._library is None:
+                self._library = Tokenizer.from_file(self.vocabulary.path)
+            cut = pre_tokenizers.Split(Regex(self.vocabulary.pattern), "removed", invert=True)
+            return [piece for piece, _ in cut.pre_tokenize_str(self._library.normalizer.normalize_str(text))]
+        return self._pattern.findall(normalize(text))
 
     def _ids(self, word: str) -> list[int]:
         words = self._words
@@ -208,7 +232,7 @@ class Encoder:
             if part in special:
                 found.append(special[part])
             else:
-                for word in self._pieces(normalize(part)):
+                for word in self._pieces(part):
                     found += known(word) or ids(word)
         return found
 

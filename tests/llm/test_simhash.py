@@ -1,0 +1,102 @@
+"""Golay keys, fingerprints and classes against brute force."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import plain
+import pytest
+
+from siltstone.llm import golay, simhash
+from siltstone.llm.components import components
+
+
+def test_code_is_perfect():
+    _, errors, counts = golay._tables()
+    assert set(counts) == {1, 6}
+    assert (counts == 6).sum() == 1771
+    assert len({e for e, n in zip(errors[:, 0].tolist(), counts)}) == 2048
+
+
+def indices(words):
+    near, counts = golay.near(np.asarray(words))
+    return [set(row[:n].tolist()) for row, n in zip(near, counts)], near[:, 0].tolist()
+
+
+def test_two_errors_share_an_index():
+    """The code is linear, so all cosets times all errors are all cases."""
+    cosets = list(range(1 << 11))
+    flips = [sum(1 << b for b in bits) for n in (1, 2) for bits in combinations(range(23), n)]
+    own, first = indices(cosets)
+    for flip in flips:
+        other, other_first = indices([c ^ flip for c in cosets])
+        assert all(a & b for a, b in zip(own, other))
+        if flip.bit_count() == 1:
+            assert all(b in a for a, b in zip(own, other_first))
+            assert all(a in b for a, b in zip(first, other))
+
+
+def test_every_link_has_a_key():
+    rnd = random.Random(5)
+    for bits in range(5):
+        for _ in range(300):
+            a = rnd.getrandbits(64)
+            b = a ^ sum(1 << x for x in rnd.sample(range(64), bits))
+            keys, rows, sides = simhash.golay_keys(np.array([a, b], np.uint64))
+            held = [set(zip(keys[rows == r].tolist(), sides[rows == r].tolist())) for r in (0, 1)]
+            assert any((k, 2 if s == 2 else 1 - s) in held[1] for k, s in held[0]), (a, b)
+
+
+@pytest.mark.parametrize("text", plain.EDGE_TEXTS)
+def test_fingerprint(text):
+    assert simhash.fingerprint(None if text is None else text.encode()) == plain.fingerprint(text)
+
+
+def test_links_against_brute_force(spark):
+    rnd = random.Random(11)
+    seeds = [rnd.getrandbits(64) for _ in range(40)]
+    values = set(seeds) | {0, (1 << 64) - 1}
+    for seed in seeds[:25]:
+        for _ in range(12):
+            seed ^= sum(1 << x for x in rnd.sample(range(64), rnd.randint(0, 5)))
+            values.add(seed)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    linked = simhash.link_fingerprints(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
+    pairs = [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
+    want, have = {}, {}
+    for node, root in plain.classes(pairs, {x for p in pairs for x in p}).items():
+        want.setdefault(root, set()).add(node)
+    for row in linked:
+        have.setdefault(row["root"], set()).add(row["fp"])
+    assert sorted(map(sorted, have.values())) == sorted(map(sorted, want.values()))
+
+
+def test_components(spark):
+    rnd = random.Random(3)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 440)]
+    edges += [(700, 700), edges[0], (9, None), (None, 9)]
+    got = {(r["node"], r["root"]) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    real = [e for e in edges if None not in e and e[0] != e[1]]
+    assert got == set(plain.classes(real, {x for e in real for x in e}).items())
+
+
+def test_edges_and_copies(spark):
+    base = " ".join(f"token{i}" for i in range(60))
+    docs = plain.edge_docs(spark, [base, base, base.replace("token59", "other"), base.upper()])
+    got = simhash.near_duplicates(docs).collect()
+    keyed = [r for r in docs.select("doc_id", "text").collect()]
+    assert len(got) == len(keyed)
+    want = plain.near_duplicates([(-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in keyed if r["doc_id"] is not None])
+    have = sorted((r["doc_id"], f"{r['fingerprint'] & (2**64 - 1):016x}", r["component_id"]) for r in got if r["doc_id"] is not None)
+    assert have == want
+
+
+def test_empty(spark):
+    assert simhash.near_duplicates(plain.empty_docs(spark)).collect() == []
+
+
+def test_shuffle_join_finds_the_same(spark, monkeypatch):
+    docs = plain.edge_docs(spark).where("doc_id is not null")
+    rows = [tuple(r) for r in simhash.near_duplicates(docs).collect()]
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", -1)
+    assert sorted(tuple(r) for r in simhash.near_duplicates(docs).collect()) == sorted(rows)
