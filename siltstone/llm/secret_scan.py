@@ -123,6 +123,10 @@ def spans_text(spans: Column) -> Column:
     ), ",")
 
 
+def _of_kind(spans: Column, kind: int) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", **columns) -> DataFrame:
     """One row for every row of ``docs``: counts by base kind, all spans, and how many look live."""
     found = scan(docs, key, text, **columns).withColumnRenamed(key, "_key")
@@ -131,7 +135,7 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", **columns)
     none = F.array().cast(found.schema["spans"].dataType)
     joined = ids.join(found, same, "left").select(key, F.coalesce("spans", none).alias("_spans"))
     base = F.filter("_spans", lambda s: s["kind"] < BASE)
-    counts = [F.size(F.filter("_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [F.size(_of_kind(F.col("_spans"), k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return joined.select(
         key, *counts, F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("_spans")).alias("spans"),
         F.size(F.filter("_spans", lambda s: s["live"])).cast("long").alias("n_live"),
