@@ -9,16 +9,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.folders import folders_of, in_folders
 from siltstone.functions.matching import same
 from siltstone.operators.dedup import dedup_latest
 from siltstone.operators.slices import POSITION, SLICE, sorted_slices, with_neighbour
-from siltstone.session import materialise
+from siltstone.session import materialise, scratch_scope
+from siltstone.sources.files import remove
 from siltstone.sources.sinks import write_partitioned
-from siltstone.sources.tables import read_table_if_any
+from siltstone.sources.tables import declare_schema, read_table_if_any
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -36,13 +37,24 @@ def upsert_table(
     newest: Sequence[str],
     columns: Sequence[str] = PARTITION_COLUMNS,
     filed_by_key: bool = False,
+    outdated: Column | None = None,
 ) -> None:
     """Merge ``source`` into a partitioned table, rewriting only the folders concerned.
 
     Those are the folders of the source rows and the folders that hold an older
     row of the same key.  The latter are found from the key columns of the whole
     table, unless a key always belongs to the same folder (``filed_by_key``).
+
+    Columns that only one side has are kept, null on the other, and a column may
+    become wider; folders that are not rewritten read null for a new column.
+    Rows of the table that meet ``outdated``, a condition on the folder columns,
+    go whether or not a newer row replaces them.
     """
+    with scratch_scope(source.sparkSession):
+        _upsert(path, source, keys, newest, columns, filed_by_key, outdated)
+
+
+def _upsert(path, source, keys, newest, columns, filed_by_key, outdated) -> None:
     spark = source.sparkSession
     # Read several times below, and perhaps derived from the table itself.
     source = materialise(dedup_latest(source, keys, newest), "upsert-source")
@@ -51,14 +63,26 @@ def upsert_table(
         write_partitioned(source, path, columns)
         return
 
-    folders = folders_of(source, columns)
+    schema = evolved_schema(target.schema, source.schema)
+    retyped = any(f.name in target.columns and f.dataType != target.schema[f.name].dataType for f in schema.fields)
+    folders = folders_of(target if retyped else source, columns)
+    if retyped:
+        # Files hold a column in one type, so a wider one is written anew everywhere.
+        folders |= folders_of(source, columns)
+    if outdated is not None:
+        folders |= folders_of(target.where(outdated), columns)
     if not filed_by_key:
         held = target.select(*dict.fromkeys([*keys, *columns])).alias("t")
         folders |= folders_of(held.join(source.select(*keys).alias("s"), same("t", "s", keys), "left_semi"), columns)
     touched = target.where(in_folders(columns, folders))
-    merged = materialise(upsert_latest(touched, source.select(*target.columns), keys, newest), "upsert-merged")
+    if outdated is not None:
+        touched = touched.where(~F.coalesce(outdated, F.lit(False)))
+    merged = upsert_latest(conform(touched, schema), conform(source, schema), keys, newest)
+    merged = materialise(merged, "upsert-merged")
+    if schema != target.schema:
+        declare_schema(spark, path, schema)
     write_partitioned(merged, path, columns, only_touched=True)
-    if not filed_by_key:
+    if not filed_by_key or outdated is not None:
         # A folder whose last row has moved to another one is not overwritten by any row.
         nothing = merged.drop(*columns).limit(0)
         for emptied in sorted(folders - folders_of(merged, columns)):
@@ -75,10 +99,18 @@ def incremental_load(
     columns: Sequence[str] = PARTITION_COLUMNS,
     filed_by_key: bool = False,
 ) -> None:
-    """Merge a staging table into its fact table, then leave the staging table empty."""
-    staged = spark.read.schema(schema).parquet(staging_path)
-    upsert_table(table_path, staged, keys, newest, columns, filed_by_key)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(staging_path)
+    """Merge a staging table into its fact table, then remove from staging what was merged.
+
+    The files are listed once; those that land during the load stay for the next.
+    """
+    files = spark.read.schema(schema).parquet(staging_path).inputFiles()
+    if files:
+        staged = spark.read.schema(schema).option("basePath", staging_path).parquet(*files)
+        upsert_table(table_path, staged, keys, newest, columns, filed_by_key)
+        # A file without rows keeps the folder readable; the next load takes it along.
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(staging_path)
+        remove(spark, files)
+        spark.catalog.refreshByPath(staging_path)
 
 
 def scd2_apply(
@@ -88,8 +120,10 @@ def scd2_apply(
 
     A member whose tracked attributes differ has its current row closed at
     ``as_of`` and a new one opened; new members are opened; members the snapshot
-    lacks and rows already closed stay as they are.
+    lacks and rows already closed stay as they are.  Of rows that repeat a key in
+    the snapshot the one with the greatest tracked attributes counts.
     """
+    snapshot = dedup_latest(snapshot, keys, tracked)
     at = F.lit(as_of).cast(dimension.schema["valid_from"].dataType)
     columns = [*keys, *tracked]
     closed = dimension.where(~F.col("is_current")).select(*columns, *VALIDITY)

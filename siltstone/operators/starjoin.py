@@ -13,10 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from siltstone.session import INITIAL_CONF
+
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, so there
-# are fewer than HEAVY_SHARE such keys whatever the size of the fact.
+# A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, or than half
+# a shuffle partition's share where there are more partitions.  So no key fills a
+# task, and there are fewer heavy keys than that number whatever the fact's size.
 HEAVY_SHARE = 1_000
 # Pieces are hashed to partitions, so they are cut finer than one partition's
 # worth of rows: several small ones meet in a task without overfilling it.
@@ -62,17 +65,23 @@ def fits_broadcast(df: DataFrame, row_bound: int | None = None) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def heavy_keys(fact: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
+def shuffle_partitions(spark) -> int:
+    """Partitions a shuffle starts with."""
+    return int(spark.conf.get(INITIAL_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def heavy_keys(fact: DataFrame, key: str, share: int | None = None) -> DataFrame:
     """Keys above 1/``share`` of the rows with the number of pieces to cut each into.
 
     Counts are combined before the shuffle, and what comes back to the driver
     is fewer than ``share`` rows.
     """
     spark = fact.sparkSession
+    partitions = shuffle_partitions(spark)
+    share = share or max(HEAVY_SHARE, 2 * partitions)
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     heavy = counts.withColumn("_share", F.col("_rows") / total).where(F.col("_share") * share > 1)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = F.greatest(F.lit(2), F.ceil(F.col("_share") * partitions * PIECES_PER_PARTITION)).cast("int")
     rows = heavy.select(F.col(key).alias("_heavy"), pieces.alias("_pieces")).collect()
     schema = T.StructType([T.StructField("_heavy", fact.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])
@@ -103,8 +112,12 @@ def salted_left_join(
     return _attach(cut, copies, on).drop("_salt", "_piece")
 
 
-def lookup_join(fact: DataFrame, lookup: Lookup, grain: Sequence[str]) -> DataFrame:
-    """Add the attributes of one dimension to the fact, keeping every fact row once."""
+def lookup_join(fact: DataFrame, lookup: Lookup, grain: Sequence[str], bare: DataFrame | None = None) -> DataFrame:
+    """Add the attributes of one dimension to the fact, keeping every fact row once.
+
+    ``bare`` is the fact before any join, where its keys can be counted without
+    running the joins before this one.
+    """
     own = "_dim_key"
     dim = lookup.table.select(F.col(lookup.dim_key).alias(own), *(c for c in lookup.take))
     if fits_broadcast(dim, lookup.row_bound):
@@ -116,7 +129,7 @@ def lookup_join(fact: DataFrame, lookup: Lookup, grain: Sequence[str]) -> DataFr
         on = (F.col(lookup.fact_key) == F.col(own)) & (F.col("_salt") == F.col("_piece"))
         joined = _attach(salted, keys, on).drop("_salt", "_piece")
     else:
-        joined = salted_left_join(fact, dim, lookup.fact_key, own, grain, heavy_keys(fact, lookup.fact_key))
+        joined = salted_left_join(fact, dim, lookup.fact_key, own, grain, heavy_keys(bare or fact, lookup.fact_key))
     return joined.drop(own)
 
 
@@ -125,4 +138,4 @@ def star_join(fact: DataFrame, lookups: Sequence[Lookup], grain: Sequence[str])
 
     ``grain`` names the columns that identify a fact row.
     """
-    return reduce(lambda df, lookup: lookup_join(df, lookup, grain), lookups, fact)
+    return reduce(lambda df, lookup: lookup_join(df, lookup, grain, fact), lookups, fact)

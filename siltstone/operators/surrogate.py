@@ -27,7 +27,8 @@ def assign_keys(
 ) -> DataFrame:
     """Give each member its key; members of ``previous`` keep theirs, new ones follow on.
 
-    Facts that already refer to a member therefore stay valid after a refresh.
+    Members that ``members`` lacks stay as they were, so no key is ever given
+    again and facts that refer to a member stay valid after a refresh.
     """
     if previous is None:
         return number_members(members, natural_key, key)
@@ -37,4 +38,10 @@ def assign_keys(
     new = matched.where(F.col(key).isNull()).drop(key)
     highest = previous.agg(F.max(key)).first()[0]
     start = 0 if highest is None else highest + 1
-    return matched.where(F.col(key).isNotNull()).unionByName(number_members(new, natural_key, key, start))
+    gone = previous.alias("p").join(members.select(*natural_key).alias("m"), same("p", "m", natural_key), "left_anti")
+    held = [c for c in matched.columns if c in previous.columns]
+    return (
+        matched.where(F.col(key).isNotNull())
+        .unionByName(number_members(new, natural_key, key, start))
+        .unionByName(gone.select(*(f"p.{c}" for c in held)), allowMissingColumns=True)
+    )

@@ -91,13 +91,14 @@ def dim_station(
 ) -> DataFrame:
     """Stations, with the name under which the newest arrival knows them.
 
+    A stop is known by its ``naptanId``, or where it has none by its ``id``.
     Both sides are reduced to one row per station before they are joined.
     """
     seen = latest_attributes(arrivals, ["naptanId"], ["stationName"], "timestamp")
     names = seen.select(F.col("naptanId").alias("naptan_id"), F.col("stationName").alias("station_name"))
     stops = dedup_latest(
         stoppoints.select(
-            "naptanId", "commonName", "stopType", "stationNaptan", "zone", "wifi", "modes", "lat", "lon", "status",
+            F.coalesce("naptanId", "id").alias("naptanId"), "commonName", "stopType", "stationNaptan", "zone", "wifi", "modes", "lat", "lon", "status",
             "_ingested_at",
         ),
         ["naptanId"], ["_ingested_at"],

@@ -8,14 +8,16 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
+from siltstone.functions.matching import same
 from siltstone.functions.timekeys import in_days
 from siltstone.operators.merge import upsert_table
 from siltstone.operators.starjoin import fits_broadcast
 from siltstone.plans import dims, facts, silver
 from siltstone.schemas import feed_schema
-from siltstone.session import materialise
-from siltstone.sources.feeds import read_feed
-from siltstone.sources.sinks import append_new, observed, write_dimension, write_partitioned
+from siltstone.session import materialise, scratch_scope
+from siltstone.sources.feeds import DAY_FOLDERS, read_feed
+from siltstone.sources.files import folder_values
+from siltstone.sources.sinks import observed, write_dimension, write_partitioned
 from siltstone.sources.tables import read_table, read_table_if_any
 
 DIMENSIONS = ("dim_date", "dim_time", "dim_line", "dim_station", "dim_zone", "dim_disruption")
@@ -27,7 +29,8 @@ def refresh_silver(spark: SparkSession, feed: str, bronze: str, path: str, at: s
     table = silver.TABLES[feed]
     df, seen = observed(silver.build(table, read_feed(spark, bronze, feed_schema(feed)), at), f"silver_{feed}")
     if table.append:
-        append_new(df, path, table.keys)
+        # Rows whose raw data has gone stay; a correction of a known row replaces it.
+        upsert_table(path, df, table.keys, table.newest)
     else:
         write_partitioned(df, path)
     return seen
@@ -42,11 +45,10 @@ def covered_days(times: DataFrame) -> tuple[date, date] | None:
     return tuple(datetime.fromtimestamp(x // 1_000_000, timezone.utc).date() for x in (first, last))
 
 
-def filed_days(*tables: DataFrame) -> tuple[date, date] | None:
-    """First and last day under which rows are filed; reads no column but the folders."""
-    day = F.when(F.col("_day").isNotNull(), F.struct(*PARTITION_COLUMNS))
-    ends = [x for t in tables for x in t.agg(F.min(day), F.max(day)).first() if x is not None]
-    return (date(*min(ends)), date(*max(ends))) if ends else None
+def filed_days(spark: SparkSession, *paths: str) -> tuple[date, date] | None:
+    """First and last day under which tables keep rows; only folders are listed."""
+    days = [d for path in paths for d in folder_values(spark, path, PARTITION_COLUMNS)]
+    return (date(*min(days)), date(*max(days))) if days else None
 
 
 def table_paths(silver_root: str, gold_root: str) -> dict[str, str]:
@@ -80,15 +82,14 @@ def refresh_dimension(
     if name == "dim_time":
         write_dimension(dims.dim_time(spark, at), paths[name])
     elif name == "dim_date":
-        span = filed_days(*(read_table(spark, paths[source]) for _, source, _ in STARS.values()))
+        span = filed_days(spark, *(paths[source] for _, source, _ in STARS.values()))
         if span is not None:
             write_dimension(dims.dim_date(spark, *span, holidays, at), paths[name])
     else:
         build, sources = MEMBERS[name]
         previous = read_table_if_any(spark, paths[name])
-        members = build(*(read_table(spark, paths[s]) for s in sources), previous, at=at)
-        # The table is read while its successor is built, so that is written elsewhere first.
-        write_dimension(materialise(members, "dimension"), paths[name])
+        with scratch_scope(spark):
+            write_dimension(build(*(read_table(spark, paths[s]) for s in sources), previous, at=at), paths[name])
 
 
 def refresh_fact(
@@ -124,18 +125,37 @@ def backfill(
     spark: SparkSession, feed: str, bronze: str, path: str, first: date, last: date,
     last_landed: date | None = None, at: str | None = None,
 ) -> None:
-    """Redo the cleaned rows of ``[first, last]``, touching no other day of the table.
+    """Replace the cleaned rows of ``[first, last]`` by what the raw layer now gives for them.
 
     Rows land on or after the day they belong to (a day of clock difference is
     allowed for), so raw folders before ``first`` are not read.  A row may land
     any time later, so there is no upper limit unless the caller can vouch for
-    ``last_landed``.  Running it again changes nothing.
+    ``last_landed``.  Days left without rows become empty.  A key of the range
+    whose newest reading belongs to another day moves there; other rows of other
+    days stay.  Running it again changes nothing.
+
+    Days that the table holds but whose raw folders are gone cannot be redone:
+    that is an error, and nothing is changed.
     """
     table = silver.TABLES[feed]
-    raw = read_feed(spark, bronze, feed_schema(feed), first - timedelta(days=1), last_landed)
-    rows = silver.build(table, raw, at).where(in_days(PARTITION_COLUMNS, first, last))
-    if table.filed_by_key:
-        write_partitioned(rows, path, only_touched=True)
-    else:
-        # The same key may be held under another day, which must give it up.
-        upsert_table(path, rows, table.keys, table.newest)
+    landed = [date(*d) for d in folder_values(spark, bronze, DAY_FOLDERS)]
+    held = [d for d in (date(*d) for d in folder_values(spark, path, PARTITION_COLUMNS)) if first <= d <= last]
+    expired = [d for d in held if not landed or d < min(landed) - timedelta(days=1)]
+    if expired:
+        raise ValueError(f"raw data of {expired[0]} has gone, so that day cannot be redone")
+
+    in_range = in_days(PARTITION_COLUMNS, first, last)
+    with scratch_scope(spark):
+        raw = read_feed(spark, bronze, feed_schema(feed), first - timedelta(days=1), last_landed)
+        rows = materialise(silver.build(table, raw, at), "backfill")
+        if not table.filed_by_key:
+            # Readings of the range's keys that belong to other days count as well.
+            existing = read_table_if_any(spark, path)
+            concerned = silver.with_days(table, raw).where(in_range).select(*table.keys)
+            if existing is not None:
+                concerned = concerned.unionByName(existing.where(in_range).select(*table.keys))
+            concerned = materialise(concerned.distinct(), "concerned")
+            rows = rows.alias("r").join(concerned.alias("c"), same("r", "c", table.keys), "left_semi")
+        else:
+            rows = rows.where(in_range)
+        upsert_table(path, rows, table.keys, table.newest or table.keys, filed_by_key=table.filed_by_key, outdated=in_range)

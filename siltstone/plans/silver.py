@@ -51,6 +51,11 @@ def finish(df: DataFrame, table: SilverTable, at: str | None = None) -> DataFram
     return stamped.select(*own, INGESTED, PROCESSED, *c.PARTITION_COLUMNS)
 
 
+def with_days(table: SilverTable, bronze: DataFrame) -> DataFrame:
+    """All cleaned readings of a feed under their day folders, copies included."""
+    return c.with_partition_columns(table.clean(bronze), table.time)
+
+
 def build(table: SilverTable, bronze: DataFrame, at: str | None = None) -> DataFrame:
     """The cleaned table of a feed read with its declared schema.
 

@@ -8,29 +8,43 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.timekeys import in_days
+from siltstone.sources.files import folder_values
 
 MICROS = 1_000_000
 
 
-def _newest_micros(fact: DataFrame, time: str) -> int | None:
-    """Greatest ``time``, found by reading that column of the newest day folder only."""
-    folder = fact.agg(F.max(F.struct(*PARTITION_COLUMNS)).alias("f")).first()["f"]
-    if folder is None:
-        return None
-    newest = fact
-    for c in PARTITION_COLUMNS:
-        newest = newest.where(F.col(c).eqNullSafe(F.lit(folder[c])))
-    return newest.agg(F.max(F.unix_micros(time)).alias("t")).first()["t"]
+def _newest_micros(fact: DataFrame, time: str, path: str | None) -> int | None:
+    """Greatest ``time``, found by reading that column of the newest day folders only.
+
+    With the table's ``path`` its folders are listed and no file of another day
+    is opened; a folder that holds no row is passed over.
+    """
+    if path is None:
+        folder = fact.agg(F.max(F.struct(*PARTITION_COLUMNS)).alias("f")).first()["f"]
+        days = [] if folder is None else [tuple(folder)]
+    else:
+        days = folder_values(fact.sparkSession, path, PARTITION_COLUMNS)
+    for day in reversed(days):
+        newest = fact
+        for c, value in zip(PARTITION_COLUMNS, day):
+            newest = newest.where(F.col(c).eqNullSafe(F.lit(value)))
+        micros = newest.agg(F.max(F.unix_micros(time)).alias("t")).first()["t"]
+        if micros is not None:
+            return micros
+    return None
 
 
-def last_hours(fact: DataFrame, time: str, hours: int = 1, as_of: datetime | None = None) -> DataFrame:
+def last_hours(
+    fact: DataFrame, time: str, hours: int = 1, as_of: datetime | None = None, path: str | None = None
+) -> DataFrame:
     """Rows in ``(as_of - hours, as_of]``; ``as_of`` defaults to the newest row's time.
 
     ``fact`` is filed by day of ``time``; the range also names the day folders,
-    because a predicate on ``time`` alone would not prune them.
+    because a predicate on ``time`` alone would not prune them.  ``path`` is where
+    the table is kept, to find its newest day by listing.
     """
     if as_of is None:
-        end = _newest_micros(fact, time)
+        end = _newest_micros(fact, time, path)
         if end is None:
             return fact.limit(0)
     else:
@@ -59,10 +73,19 @@ def line_performance(fact_line_status: DataFrame) -> DataFrame:
 
 
 def station_activity(fact_arrivals: DataFrame) -> DataFrame:
-    """Per station and period of day: arrivals, vehicles, lines and mean wait."""
-    return fact_arrivals.groupBy("naptan_id", "period_of_day").agg(
-        F.count(F.lit(1)).alias("arrivals"),
+    """Per station and period of day: arrivals, vehicles, lines and mean wait.
+
+    Fact rows are folded to one for each vehicle and line before anything is
+    counted distinctly, so they are not multiplied by the distinct counts.
+    """
+    place = ["naptan_id", "period_of_day"]
+    seconds = F.col("time_to_station_seconds")
+    folded = fact_arrivals.groupBy(*place, "vehicle_id", "line_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(seconds.cast("long")).alias("_seconds"), F.count(seconds).alias("_timed")
+    )
+    return folded.groupBy(*place).agg(
+        F.sum("_rows").alias("arrivals"),
         F.count_distinct("vehicle_id").alias("vehicles"),
         F.count_distinct("line_id").alias("lines"),
-        F.avg("time_to_station_seconds").alias("mean_wait_seconds"),
+        F.try_divide(F.sum("_seconds"), F.sum("_timed")).alias("mean_wait_seconds"),
     )

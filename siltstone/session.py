@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INITIAL_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+# On a cluster a shuffle starts with many partitions, which adaptive execution
+# merges to their advised size: it never makes more than it started with.
+INITIAL_PARTITIONS = 8_192
 
 # Chosen for jobs that write day-partitioned facts: AQE sizes the shuffles and
 # splits skewed ones, so no job carries a partition count of its own.
@@ -30,7 +37,10 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(INITIAL_CONF, None) is None:
+        spark.conf.set(INITIAL_CONF, str(INITIAL_PARTITIONS))
+    return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -55,9 +65,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+# Paths handed out in each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside when the work is done, failed or not.
+
+    To be put around work that ends with its result committed elsewhere; a frame
+    that still reads an intermediate table must not leave the scope.
+    """
+    from siltstone.sources.files import remove
+
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        remove(spark, _SCOPES.pop())
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -39,7 +39,11 @@ def read_feed(
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
-    """Replace a column of JSON text by its fields, and the text where it failed."""
+    """Replace a column of JSON text by its fields, and the text where it failed.
+
+    Blank lines are skipped, as the file reader does.
+    """
+    lines = lines.where(F.trim(F.col(line)) != "")
     parsed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     kept = [c for c in lines.columns if c != line]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.matching import same
+from siltstone.sources.files import replace_table
 from siltstone.sources.tables import read_table_if_any
 
 
@@ -34,21 +35,19 @@ def write_partitioned(
     many tasks.  Rows that come from a table in the same folders and were not
     shuffled since are ``filed`` already and spared that shuffle.  With
     ``only_touched`` an overwrite keeps the folders that the new rows do not
-    mention.
+    mention; without it the whole table is replaced, and stays as it was should
+    the write fail.
     """
-    (
-        (df if filed else df.hint("rebalance", *columns))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-        .partitionBy(*columns)
-        .format(fmt)
-        .save(path)
-    )
+    writer = (df if filed else df.hint("rebalance", *columns)).write.partitionBy(*columns).format(fmt)
+    if mode == "overwrite" and not only_touched:
+        replace_table(df.sparkSession, path, lambda staged: writer.mode("error").save(staged))
+    else:
+        writer.mode(mode).option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def write_dimension(df: DataFrame, path: str) -> None:
-    """Replace an unpartitioned table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace an unpartitioned table, which ``df`` may read."""
+    replace_table(df.sparkSession, path, lambda staged: df.write.parquet(staged))
 
 
 def append_new(

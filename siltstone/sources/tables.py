@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.timekeys import in_days
 
 
+# A table whose schema has grown keeps it beside its folders; readers skip names that begin so.
+SCHEMA_FOLDER = "_schema"
+
+
+def declared_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema a table has grown to, or None while all its files have the same."""
+    try:
+        row = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return None if row is None else T.StructType.fromJson(json.loads(row[0]))
+
+
+def declare_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the schema under which older and newer folders are to be read."""
+    written = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+    written.write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -20,28 +42,20 @@ def read_table(
     last: date | None = None,
 ) -> DataFrame:
     """Read a layer table; a day range prunes its ``_year/_month/_day`` folders."""
-    df = spark.read.parquet(path)
+    schema = declared_schema(spark, path)
+    df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     if first is not None or last is not None:
         df = df.where(in_days(PARTITION_COLUMNS, first, last))
     return df.select(*columns) if columns else df
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path`` in whatever file system it names."""
-    context = spark.sparkContext
-    location = context._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
-
-
 def read_table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when nothing has been written there yet."""
-    if not path_exists(spark, path):
-        return None
     try:
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     except AnalysisException as error:
-        # A folder without a data file, as an interrupted first write leaves it.
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+        # No folder, or one without a data file, as an interrupted first write leaves it.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 

@@ -63,6 +63,44 @@ def incremental_load(spark, sf_dir):
     return read_table(spark, table).withColumn("left_in_staging", left)
 
 
+@query("""
+select event_id, case when event_type = 'click' then value * 2 else value end as value,
+  cast(case when event_type = 'click' then 2 else 1 end as bigint) as version,
+  case when event_type = 'click' then 'corrected ' || user_id end as note,
+  cast(year(ts) as integer) as _year, cast(month(ts) as integer) as _month, cast(day(ts) as integer) as _day from events""")
+def upsert_evolved(spark, sf_dir):
+    """A stored table takes over a new column and a wider one."""
+    events = feeds.table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    filed = with_partition_columns(events, "ts")
+    path = scratch_path(spark, "evolved")
+    days = ["_year", "_month", "_day"]
+    write_partitioned(filed.select("event_id", "value", F.lit(1).alias("version"), *days), path)
+    clicks = filed.where(F.col("event_type") == "click").select(
+        "event_id", (F.col("value") * 2).alias("value"), F.lit(2).cast("long").alias("version"),
+        feeds.text("corrected ", F.col("user_id")).alias("note"), *days,
+    )
+    merge.upsert_table(path, clicks, ["event_id"], ["version"], filed_by_key=True)
+    return read_table(spark, path)
+
+
+@query("""
+select c_name, c_nationkey, c_mktsegment <> 'MACHINERY' as in_last, true as key_kept from customer""")
+def keys_after_refreshes(spark, sf_dir):
+    """A dimension built three times: members vanish and appear, every key is given once and kept."""
+    members = feeds.table(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_mktsegment")
+    segment = F.col("c_mktsegment")
+    runs = [members.where(segment != "BUILDING"), members.where(~segment.isin("BUILDING", "MACHINERY")), members.where(segment != "MACHINERY")]
+    keyed, first = None, None
+    for run in runs:
+        keyed = materialise(surrogate.assign_keys(run.drop("c_mktsegment"), ["c_name"], "customer_key", keyed), "keyed")
+        first = first if first is not None else keyed.select("c_name", F.col("customer_key").alias("_first"))
+    repeated = keyed.groupBy("customer_key").agg(F.count(F.lit(1)).alias("_n"))
+    kept = (F.col("_n") == 1) & F.coalesce(F.col("_first") == F.col("customer_key"), F.lit(True))
+    joined = keyed.join(repeated, "customer_key").join(first, "c_name", "left").withColumn("key_kept", kept)
+    last = runs[-1].select("c_name", F.lit(True).alias("_last"))
+    return joined.join(last, "c_name", "left").select("c_name", "c_nationkey", F.coalesce("_last", F.lit(False)).alias("in_last"), "key_kept")
+
+
 @query("""
 select c_custkey, c_mktsegment as segment, c_nationkey as nation, timestamp '2024-01-01' as valid_from,
   case when c_mktsegment = 'BUILDING' then timestamp '2024-02-01' end as valid_to, c_mktsegment <> 'BUILDING' as is_current

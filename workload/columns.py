@@ -143,7 +143,7 @@ def dedup_composite(spark, sf_dir):
     return dedup.dedup_latest(feeds.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-LINK = 'href="(/[A-Z][^"]*)"'
+LINK = 'href="([^"]*)"'
 
 
 @query(f"""
@@ -151,7 +151,7 @@ select page_id, target, cast(length(target) as integer) as size
 from (select page_id, unnest(case when len(l) = 0 then [null] else l end) as target
   from (select page_id, regexp_extract_all(html, '{LINK}', 1) as l from pages))""")
 def explode_outer_items(spark, sf_dir):
-    """Links of each page that start with a capital; pages without one keep a row."""
+    """All links of each page; pages without one keep a row."""
     links = F.regexp_extract_all("html", F.lit(LINK), F.lit(1))
     items = F.transform(links, lambda x: F.struct(x.alias("target"), F.length(x).alias("size")))
     pages = feeds.table(spark, sf_dir, "pages").select("page_id", items.alias("links"))

@@ -20,11 +20,15 @@ from workload import feeds, sql
 from workload.registry import AT, query
 
 
-def cleaned(spark, sf_dir, feed):
-    """A cleaned table as a job would leave it: written in day folders, then read."""
+def cleaned_at(spark, sf_dir, feed):
+    """Where a cleaned table lies as a job would leave it: written in day folders."""
     path = scratch_path(spark, feed)
     write_partitioned(silver.build(silver.TABLES[feed], feeds.FEEDS[feed](spark, sf_dir), AT), path)
-    return read_table(spark, path)
+    return path
+
+
+def cleaned(spark, sf_dir, feed):
+    return read_table(spark, cleaned_at(spark, sf_dir, feed))
 
 
 @query(sql.ARRIVALS)
@@ -190,8 +194,8 @@ def fact_line_status(spark, sf_dir):
 with f as ({sql.ARRIVALS}) select id, "naptanId", "lineId", "timestamp" from f
 where "timestamp" > (select max("timestamp") from f) - interval 1 hour""")
 def view_last_hour(spark, sf_dir):
-    arrivals = cleaned(spark, sf_dir, "arrivals")
-    return views.last_hours(arrivals, "timestamp").select("id", "naptanId", "lineId", "timestamp")
+    path = cleaned_at(spark, sf_dir, "arrivals")
+    return views.last_hours(read_table(spark, path), "timestamp", path=path).select("id", "naptanId", "lineId", "timestamp")
 
 
 @query(f"""

@@ -159,7 +159,13 @@ select 'stoppoints', cast(c_custkey as varchar), case when c_mktsegment = 'BUILD
 union all
 select 'line_status', cast(c_custkey as varchar), case when c_mktsegment = 'BUILDING' then 'unknown' else 'L' || c_custkey end from customer
 union all
-select 'air_quality', cast(event_id as varchar), strftime(ts, '%Y-%m-%d') from events""")
+select 'air_quality', cast(event_id as varchar), strftime(ts, '%Y-%m-%d') from events
+union all
+select 'bikepoints', cast(s_suppkey as varchar), case when s_suppkey % 3 = 0 then 'unknown' when s_suppkey % 3 = 1 then 'D' || s_suppkey
+  else 'B' || s_suppkey end from supplier
+union all
+select 'accidents', cast(s_suppkey as varchar), case when s_suppkey % 3 = 0 then
+  sha1('{"s_name":"' || s_name || '","s_suppkey":' || s_suppkey || '}') else cast(s_suppkey as varchar) end from supplier""")
 def message_keys(spark, sf_dir):
     events, customer = feeds.table(spark, sf_dir, "events"), feeds.table(spark, sf_dir, "customer")
     kind, user, segment = F.col("event_type"), F.col("user_id"), F.col("c_mktsegment")
@@ -172,7 +178,17 @@ def message_keys(spark, sf_dir):
     )
     lines = customer.select("c_custkey", F.when(segment != "BUILDING", feeds.text("L", F.col("c_custkey"))).otherwise("").alias("id"))
     readings = events.select("event_id", feeds.iso(F.col("ts"), "Z").alias("_ingested_at"))
-    parts = (("arrivals", predictions, "event_id"), ("stoppoints", stops, "c_custkey"), ("line_status", lines, "c_custkey"), ("air_quality", readings, "event_id"))
+    supplier = feeds.table(spark, sf_dir, "supplier")
+    third, own = F.col("s_suppkey") % 3, F.col("s_suppkey")
+    docks = supplier.select(
+        "s_suppkey", F.when(third == 2, feeds.text("B", own)).when(third == 1, "").alias("id"),
+        F.when(third == 1, feeds.text("D", own)).alias("stationId"),
+    )
+    accidents = supplier.select("s_suppkey", "s_name", F.when(third != 0, own).alias("id"))
+    parts = (
+        ("arrivals", predictions, "event_id"), ("stoppoints", stops, "c_custkey"), ("line_status", lines, "c_custkey"),
+        ("air_quality", readings, "event_id"), ("bikepoints", docks, "s_suppkey"), ("accidents", accidents, "s_suppkey"),
+    )
     return r.union_batches([
         df.select(F.lit(feed).alias("feed"), F.col(own).cast("string").alias("id"), r.message_key(df, feed).alias("key"))
         for feed, df, own in parts
