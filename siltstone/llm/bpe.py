@@ -182,11 +182,13 @@ def normalize(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _newer() -> re.Pattern:
-    """Letters and numbers that Python's own tables do not know yet; libraries differ on them."""
+def _newer() -> np.ndarray:
+    """Marks the letters and numbers that Python's own tables do not know yet; libraries differ on them."""
     unknown = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
-    found = regex.findall(r"[\p{L}\p{N}\s]", unknown)
-    return re.compile(f"[{re.escape(''.join(found))}]" if found else "(?!)")
+    found = "".join(regex.findall(r"[\p{L}\p{N}\s]", unknown))
+    marks = np.zeros(0x110000, bool)
+    marks[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = True
+    return marks
 
 
 class Encoder:
@@ -205,7 +207,7 @@ class Encoder:
         A text with letters newer than Python's tables is normalised and cut by
         the library whose file this is, so that both agree on what a letter is.
         """
-        if not text.isascii() and _newer().search(text):
+        if not text.isascii() and _newer()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
             if self._library is None:
                 self._library = Tokenizer.from_file(self.vocabulary.path)
             cut = pre_tokenizers.Split(Regex(self.vocabulary.pattern), "removed", invert=True)
