@@ -27,6 +27,9 @@ TRAIN_ROWS = 400
 #: Whole units that a unit vector is rounded to, so that sums do not depend on their order.
 UNIT = 1_000_000
 
+#: Parts that a language's labelled texts are thinned in before they meet.
+SALTS = 64
+
 UNKNOWN = "und"
 
 #: Letter classes: 0 stands between words, 1 to 26 are a to z, the rest share other letters.
@@ -88,10 +91,18 @@ def _unit(found: np.ndarray) -> np.ndarray:
 
 
 def bounded(docs: DataFrame, key: str, group: str, most: int) -> DataFrame:
-    """At most ``most`` rows of each group, those with the least hash of ``key``; only the two columns are read."""
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    narrow = docs.select(key, group).where(F.col(key).isNotNull() & F.col(group).isNotNull())
-    return narrow.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n")
+    """At most ``most`` rows of each group, those with the least hash of ``key``; only the two columns are read.
+
+    A group is first thinned within ``SALTS`` parts, so that no task meets more
+    of a large one than a fixed number of rows.
+    """
+    spread = F.xxhash64(F.col(key).cast("string"))
+    rows = docs.select(key, group).where(F.col(key).isNotNull() & F.col(group).isNotNull())
+    rows = rows.withColumns({"_hash": spread, "_salt": F.pmod(spread, F.lit(SALTS))})
+    for cut in (["_salt", group], [group]):
+        order = Window.partitionBy(*cut).orderBy("_hash", key)
+        rows = rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n")
+    return rows.drop("_hash", "_salt")
 
 
 def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
