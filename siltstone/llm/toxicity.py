@@ -43,7 +43,7 @@ TRAIN_ROWS = 3000
 INSULT_UNITS = 400
 CLEAN_UNITS = 6000
 HARD_UNITS = 2000
-LANDMARKS = 96
+LANDMARKS = 160
 
 #: Evidence (G statistic) that ties a unit to toxic texts where none has as much as chance may give.
 LEAST_EVIDENCE = 8.0
@@ -169,10 +169,27 @@ class Machine:
         return out
 
 
+def landmarks(units: Sequence[str], most: int) -> list[str]:
+    """Units that span the others best: each next one is what those before explain least (pivoted Cholesky)."""
+    pieces = list(dict.fromkeys(w[:PIECE] for w in units))
+    gram = kernel(pieces, pieces)
+    left = np.diag(gram).copy()
+    columns = np.zeros((len(pieces), 0))
+    chosen: list[int] = []
+    while len(chosen) < min(most, len(pieces)) and left.max() > 1e-6:
+        i = int(left.argmax())
+        column = (gram[:, i] - columns @ columns[i]) / np.sqrt(left[i])
+        columns = np.hstack([columns, column[:, None]])
+        left = np.maximum(left - column**2, 0)
+        left[i] = 0
+        chosen.append(i)
+    return [pieces[i] for i in chosen]
+
+
 def fit_machine(insults: Sequence[str], clean: Sequence[str], insult_weight: np.ndarray, penalty: float = 1e-3) -> Machine:
     """A linear support vector machine (squared hinge) on Nyström features of units."""
     half = LANDMARKS // 2
-    marks = [w[:PIECE] for w in [*insults[:half], *clean[:half]]]
+    marks = list(dict.fromkeys([*landmarks(insults, half), *landmarks(clean[: 4 * half], half)]))
     values, basis = np.linalg.eigh(kernel(marks, marks))
     whiten = basis / np.sqrt(np.maximum(values, 1e-6))
     x = np.hstack([kernel([*insults, *clean], marks) @ whiten, np.ones((len(insults) + len(clean), 1))])
@@ -191,7 +208,7 @@ def fit_machine(insults: Sequence[str], clean: Sequence[str], insult_weight: np.
     return Machine(tuple(marks), tuple((whiten @ w[:-1]).tolist()), float(w[-1]))
 
 
-def fit_curve(x: np.ndarray, label: np.ndarray, penalty: float = 1e-3) -> tuple[tuple[float, ...], float]:
+def fit_curve(x: np.ndarray, label: np.ndarray, penalty: float = 1e-4) -> tuple[tuple[float, ...], float]:
     """Slopes and shift of a logistic curve over standardised columns, by Newton steps."""
     middle, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.hstack([(x - middle) / spread, np.ones((len(x), 1))])
