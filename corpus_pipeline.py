@@ -78,8 +78,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of what they decode to."""
-    decoded = bpe.decode(bpe.encode(docs), ["doc_id", "ids"])
-    return decoded.select(
+    return bpe.round_trip(docs).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

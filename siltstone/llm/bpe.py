@@ -25,7 +25,6 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
@@ -33,11 +32,11 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 from siltstone.llm.arrow import SLICE_ROWS, importable, with_texts
 
 #: Words that a task remembers before it starts afresh; bounds memory, not results.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Longer words are encoded each time they occur.
 CACHE_CHARS = 64
 #: Pairs in the compatibility table before it starts afresh.
-TABLE_PAIRS = 1_000_000
+TABLE_PAIRS = 200_000
 
 WORD_END = "</w>"
 
@@ -74,12 +73,10 @@ class Vocabulary:
             codes = [byte[c] for c in (token.removesuffix(WORD_END) if end else token)]
             return "".join(map(chr, codes[:-1])) + chr(codes[-1] + 256 * end)
 
-        #: Each token's symbols, none for ids that no merge gives, and its text in the file.
+        #: Each token's symbols, none for special tokens.
         size = max([*ids.values(), *self.special.values()]) + 1
         self.symbols = [""] * size
-        spelt = [""] * size
-        for text, i in [*ids.items(), *self.special.items()]:
-            spelt[i] = text
+        for text, i in ids.items():
             if text not in self.special:
                 self.symbols[i] = symbols(text)
         #: The merge of two tokens; its rank, its two tokens, both kept by the merged id.
@@ -92,7 +89,7 @@ class Vocabulary:
             self.merged[a, b] = both
             self.rank[both] = rank
             self.parts[both] = (a, b)
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
         #: Tokens that merging their own bytes gives; no other can come out.
         stable = {i for i, s in enumerate(self.symbols) if s and i not in self.parts}
         for both, (a, b) in self.parts.items():
@@ -107,11 +104,6 @@ class Vocabulary:
         self.shorter = [
             next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1) for s in self.symbols
         ]
-        #: All tokens' text in one buffer, each followed by the joining space, and where each begins.
-        texts = [t.encode() + b" " for t in spelt]
-        self.buffer = np.frombuffer(b"".join(texts), np.uint8)
-        self.lengths = np.array([len(t) for t in texts], np.int64)
-        self.offsets = np.cumsum(self.lengths) - self.lengths
 
     def _apart(self, left: int, right: int) -> bool:
         """Whether both tokens arise from their joined bytes before anything merges across the border.
@@ -136,12 +128,12 @@ class Vocabulary:
 
     def may_meet(self, left: int, right: int) -> bool:
         """The pair-compatibility table: whether merging the bytes of both tokens leaves just these two."""
-        table = self._compatible
-        known = table.get((left, right))
+        table, pair = self._compatible, left << 32 | right
+        known = table.get(pair)
         if known is None:
             if len(table) >= TABLE_PAIRS:
                 table.clear()
-            known = table[left, right] = (left, right) not in self.merged and self._apart(left, right)
+            known = table[pair] = (left, right) not in self.merged and self._apart(left, right)
         return known
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -239,7 +231,37 @@ class Encoder:
         return found
 
 
-@lru_cache(maxsize=4)
+class OffsetTable:
+    """All tokens' text in one buffer, each followed by the joining space, and where each begins."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        spelt = [b" "] * (max(ids.values()) + 1)
+        for text, i in ids.items():
+            spelt[i] = text.encode() + b" "
+        self.buffer = np.frombuffer(b"".join(spelt), np.uint8)
+        self.lengths = np.array([len(t) for t in spelt], np.int32)
+        self.offsets = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+
+    def decode(self, ids: Sequence[int]) -> bytes:
+        """The tokens' text joined by spaces, gathered at once; nothing for no ids."""
+        ids = np.asarray(ids, np.int32)
+        if not len(ids):
+            return b""
+        lengths = self.lengths[ids]
+        begins = np.cumsum(lengths, dtype=np.int64) - lengths
+        places = np.arange(begins[-1] + lengths[-1] - 1) + np.repeat(self.offsets[ids] - begins, lengths)[:-1]
+        return self.buffer[places].tobytes()
+
+
+@lru_cache(maxsize=2)
+def offset_table(path: str) -> OffsetTable:
+    return OffsetTable(path)
+
+
+@lru_cache(maxsize=2)
 def load(path: str) -> Vocabulary:
     """The tables of a file, made once in each worker."""
     return Vocabulary(path)
@@ -267,18 +289,24 @@ def encode(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text
     return with_texts(docs, keep, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
 
 
-def _decode_batch(ids: pa.ListArray, vocabulary: Vocabulary) -> pa.StringArray:
-    """The tokens' text of each list, joined by spaces, gathered from the buffer at once."""
-    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = ids.flatten().to_numpy(zero_copy_only=False)
-    lengths = vocabulary.lengths[flat].copy()
-    ends = np.cumsum(sizes)
-    lengths[ends[sizes > 0] - 1] -= 1  # no space after the last
-    stops = np.concatenate([[0], np.cumsum(lengths)])
-    shift = np.repeat(vocabulary.offsets[flat] - stops[:-1], lengths)
-    data = vocabulary.buffer[np.arange(stops[-1]) + shift]
-    bounds = stops[np.concatenate([[0], ends])]
-    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(bounds), pa.py_buffer(data)).cast(pa.string())
+def round_trip(
+    docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", path: str | None = None, ids: str = "ids",
+    decoded: str = "decoded",
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: columns ``keep``, the ids of each row and the text they decode to."""
+    path = path or default_path()
+
+    def make():
+        encoder, table = Encoder(load(path)), offset_table(path)
+
+        def step(texts: list[bytes | None]) -> list[Sequence]:
+            found = [encoder.encode((t or b"").decode()) for t in texts]
+            return [found, [table.decode(f).decode() for f in found]]
+
+        return step
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
+    return with_texts(docs, keep, text, fields, make)
 
 
 def decode(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids: str = "ids", path: str | None = None, text: str = "decoded") -> DataFrame:
@@ -292,11 +320,13 @@ def decode(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids: str = "id
     schema = T.StructType([*(source.schema[c] for c in keep), T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load(path)
+        table = offset_table(path)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(at, SLICE_ROWS)
-                made = _decode_batch(piece.column(len(keep)), vocabulary)
-                yield pa.RecordBatch.from_arrays([*piece.columns[: len(keep)], made], names=schema.names)
+                lists = piece.column(len(keep))
+                made = [table.decode(lists[i].values) if lists[i].is_valid else b"" for i in range(len(lists))]
+                decoded = pa.array([m.decode() for m in made], pa.string())
+                yield pa.RecordBatch.from_arrays([*piece.columns[: len(keep)], decoded], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -71,8 +71,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids and back."""
-    encoded = bpe.encode(table(spark, sf_dir, "documents"))
-    return digests(bpe.decode(encoded, ["doc_id", "ids"]))
+    return digests(bpe.round_trip(table(spark, sf_dir, "documents")))
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -58,6 +58,8 @@ def test_bpe_edges(spark, tokenizer):
     for r in rows:
         want = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["ids"] == want and r["decoded"] == tokenizer.decode(want, skip_special_tokens=False)
+    once = bpe.round_trip(docs, ["doc_id", "text"]).collect()
+    assert sorted(map(tuple, once), key=str) == sorted(((r["doc_id"], r["text"], r["ids"], r["decoded"]) for r in rows), key=str)
     assert bpe.decode(bpe.encode(plain.empty_docs(spark))).collect() == []
 
 
