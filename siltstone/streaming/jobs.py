@@ -16,7 +16,7 @@ from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.operators.merge import upsert_table
 from siltstone.operators.starjoin import STREAM_SALTS
 from siltstone.plans.silver import SilverTable, finish
-from siltstone.sources.feeds import DAY_FOLDERS, with_day_folders
+from siltstone.sources.feeds import DAY_FOLDERS, parse_lines, with_day_folders
 
 
 def read_feed_stream(
@@ -29,10 +29,18 @@ def read_feed_stream(
     return reader.load(path)
 
 
+def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of a frame of ``(key, value)`` messages; text that does not parse is kept in ``_corrupt_record``.
+
+    ``split_lines`` parts the rows, for a quarantine of their own.
+    """
+    return parse_lines(messages.select(F.col("value").cast("string").alias("value")), schema)
+
+
 def read_topic_stream(
     spark: SparkSession, servers: str, topic: str, schema: T.StructType, per_trigger: int | None = None
 ) -> DataFrame:
-    """A message topic as a stream of records; needs Spark's Kafka connector on the class path."""
+    """A message topic as a stream of parsed messages; needs Spark's Kafka connector on the class path."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -41,8 +49,7 @@ def read_topic_stream(
     )
     if per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    record = F.from_json(F.col("value").cast("string"), schema)
-    return reader.load().select(record.alias("_record")).select("_record.*")
+    return parse_messages(reader.load(), schema)
 
 
 def write_available(

@@ -183,3 +183,13 @@ def test_stops_known_by_id_only(spark):
     stops = silver.stoppoints(parsed.drop("_corrupt_record"))
     arrivals = silver.arrivals(spark.createDataFrame([], feed_schema("arrivals")))
     assert rows(dims.dim_station(stops, arrivals), "naptan_id", "common_name") == [("x", "X"), ("y", "Y")]
+
+
+def test_messages_that_do_not_parse_are_kept(spark):
+    from siltstone.sources.feeds import split_lines
+    from siltstone.streaming.jobs import parse_messages
+
+    values = [b'{"id": "a", "commonName": "A"}', b"{broken", b" ", b'{"id": "b"}']
+    frame = spark.createDataFrame([(b"k", v) for v in values], "key binary, value binary")
+    good, bad = split_lines(parse_messages(frame, feed_schema("stoppoints")))
+    assert rows(good, "id") == [("a",), ("b",)] and rows(bad, "_corrupt_record") == [("{broken",)]
