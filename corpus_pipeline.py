@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltstone.llm import bpe, decontaminate, quality, secret_scan, simhash
-from siltstone.session import configure, materialise, scratch_path
+from siltstone.session import configure, materialise, scratch_path, scratch_scope
+from siltstone.sources.files import remove
 
 #: Rows of a side table that are broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -98,11 +99,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again."""
+    """All stages over the documents, each written and read again; what a stage leaves behind goes with it."""
     docs = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        made = stage(spark, docs, sf_dir)
         path = scratch_path(spark, name)
-        made.write.parquet(path)
+        with scratch_scope(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
         docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            remove(spark, [before])
+        before = path
     return docs
