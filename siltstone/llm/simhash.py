@@ -208,4 +208,5 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bit
     prints = materialise(fingerprints(docs, key, text, "fp"), "fingerprints")
     rooted = materialise(with_class(prints, max_bits), "rooted")
     least = rooted.groupBy("root").agg(F.min(key).alias("_least"), F.count("*").alias("_n")).where("_n > 1")
-    return rooted.join(least, "root").where(~F.col(key).eqNullSafe(F.col("_least"))).select(key).distinct()
+    # Read from its table, the join has a shuffle of its own that a large class can be split in.
+    return rooted.join(materialise(least.drop("_n"), "least"), "root").where(~F.col(key).eqNullSafe(F.col("_least"))).select(key).distinct()
