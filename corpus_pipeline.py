@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, decontaminate, quality, secret_scan, simhash
+from siltstone.llm import bpe, decontaminate, overlap, quality, secret_scan, simhash
 from siltstone.session import configure, materialise, scratch_path, scratch_scope
 from siltstone.sources.files import remove
 
@@ -42,9 +42,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least id stays, and one copy of it."""
+    """Of each class of near-duplicates the document with the least id stays, and one copy of it.
+
+    Classes are those of the fingerprints, and among what these leave those of
+    texts that share their word shingles.
+    """
     keyed = docs.withColumn(ROW, row_key())
-    left = without(keyed, simhash.duplicates(keyed, ROW)).withColumn(ROW, row_key())
+    apart = without(keyed, simhash.duplicates(keyed, ROW)).withColumn(ROW, row_key())
+    left = without(apart, overlap.duplicates(apart, ROW)).withColumn(ROW, row_key())
     repeated = materialise(keyed.groupBy(ROW).count().where("count > 1").select(F.col(ROW).alias("_again")), "repeated")
     if repeated.isEmpty():
         return left.drop(ROW)

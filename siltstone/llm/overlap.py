@@ -1,0 +1,156 @@
+"""Near-duplicates by the words they share: MinHash bands find candidates, exact Jaccard of word shingles decides.
+
+A text's set holds the hashes of its windows of five words, A-Z in lower case;
+a shorter text is one window.  Each of ``BANDS`` keys joins ``ROWS`` minima of
+the set under functions of their own, so two texts with similarity s share no
+key with a chance of (1 - s ** ROWS) ** BANDS: 5e-8 at 0.8, less above it.
+
+As with fingerprints, a bucket's rows are first compared with the least one
+only; what that joins is one group afterwards, and only groups meet pair by pair.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from siltstone.llm.arrow import with_texts
+from siltstone.llm.components import components
+from siltstone.session import materialise
+
+SEED = 42
+SHINGLE_WORDS = 5
+#: Least similarity of a link, as a fraction of whole numbers.
+SIMILAR = (4, 5)
+BANDS = 32
+ROWS = 4
+
+#: Rows of a side table that are broadcast at most; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+_CHUNK = 512
+
+
+def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Masks and odd factors of the minima's functions, and odd factors that join a band's minima."""
+    rnd = np.random.Generator(np.random.PCG64(SEED))
+    masks = rnd.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
+    factors = rnd.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
+    return masks, factors, rnd.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(text: bytes | None) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order; none without words."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    size = min(SHINGLE_WORDS, len(words))
+    starts = [0, *(ends[: len(words) - size] + 1).tolist()]
+    digest = xxhash.xxh64_digest
+    made = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1 :].tolist())])
+    return np.unique(np.frombuffer(made, np.uint64))
+
+
+def band_keys(found: np.ndarray, constants: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The keys of one set; none for an empty one."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    masks, factors, joints = constants
+    short = (found >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(short), _CHUNK):
+        np.minimum(least, ((short[at : at + _CHUNK, None] ^ masks) * factors).min(0), out=least)
+    # The joining factors differ by band, so equal minima in two bands give different keys.
+    keys = ((least.astype(np.uint64) + np.uint64(1)) * joints).reshape(BANDS, ROWS).sum(1, dtype=np.uint64)
+    return ((keys ^ keys >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def _bands() -> object:
+    constants = _constants()
+
+    def step(texts: list[bytes | None]) -> list[Sequence]:
+        sets = [shingle_set(t) for t in texts]
+        return [[band_keys(s, constants) for s in sets], [len(s) for s in sets]]
+
+    return step
+
+
+def _sets() -> object:
+    def step(texts: list[bytes | None]) -> list[Sequence]:
+        return [[shingle_set(t).view(np.int64) for t in texts]]
+
+    return step
+
+
+def _sized(table: DataFrame) -> DataFrame:
+    """The table to be broadcast if it is small enough, else to be joined by shuffle."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def _alike(shared: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether sets of these sizes with so many members in common are a link."""
+    above, below = SIMILAR
+    return below * shared >= above * (size_a + size_b - shared)
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids whose sets are a link."""
+    left = sets.select(F.col("id").alias("a"), F.col("members").alias("_of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("members").alias("_of_b"))
+    shared = F.size(F.array_intersect("_of_a", "_of_b"))
+    return pairs.join(left, "a").join(right, "b").where(_alike(shared, F.size("_of_a"), F.size("_of_b"))).select("a", "b")
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The distinct (id, key) of ``docs``, and rows (id, root): for each linked id a common member of its class."""
+    fields = [T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("n", T.IntegerType())]
+    signed = with_texts(docs, [key], text, fields, _bands).withColumn("id", F.xxhash64(key))
+    signed = materialise(signed, "signed")
+    keys = signed.select("id", "n", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("_most")).where("least < _most").select("key")
+    buckets = materialise(keys.join(_sized(materialise(shared, "shared")), "key").distinct(), "buckets")
+
+    # A set holds at most all of a smaller one, so sizes further apart are no link.
+    size = _alike(F.least("a_n", "b_n"), F.col("a_n"), F.col("b_n"))
+    a = buckets.select("key", F.col("id").alias("a"), F.col("n").alias("a_n"))
+    least = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("_l"))
+    least = least.select("key", F.col("_l.id").alias("b"), F.col("_l.n").alias("b_n"))
+    stars = materialise(a.join(least, "key").where(F.col("a") != F.col("b")).where(size).select("a", "b").distinct(), "stars")
+
+    wanted = _sized(materialise(buckets.select("id").distinct(), "wanted"))
+    near = docs.withColumn("_id", F.xxhash64(key)).join(wanted, F.col("_id") == wanted["id"], "left_semi")
+    members = [T.StructField("members", T.ArrayType(T.LongType()))]
+    sets = with_texts(near, ["_id"], text, members, _sets).withColumnRenamed("_id", "id")
+    sets = materialise(sets.dropDuplicates(["id"]), "sets")
+    first = materialise(components(_links(stars, sets)), "first")
+
+    group = F.coalesce("root", "id")
+    grouped = buckets.join(first.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", group.alias("group"))
+    grouped = materialise(grouped, "grouped")
+    open_keys = grouped.groupBy("key").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
+    rest = materialise(grouped.join(open_keys.where("_low < _high").select("key"), "key", "left_semi"), "rest")
+    a = rest.select("key", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("group").alias("a_group"))
+    b = rest.select("key", F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("group").alias("b_group"))
+    across = a.join(b, "key").where((F.col("a_group") < F.col("b_group")) & size).select("a", "b").distinct()
+    # A pair that a star has compared is no link, else it would be of one group.
+    across = across.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).join(stars, ["a", "b"], "left_anti")
+    second = _links(materialise(across, "across"), sets)
+    both = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
+    found = materialise(components(both).select(F.col("node").alias("id"), "root"), "classes")
+    return signed.select("id", key).distinct(), found
+
+
+def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The distinct keys of rows in the class of one with a lesser key; keys may be structs.
+
+    Texts without words link to none; other columns are not read.
+    """
+    ids, found = classes(docs, key, text)
+    rooted = materialise(ids.join(_sized(found), "id"), "rooted")
+    least = materialise(rooted.groupBy("root").agg(F.min(key).alias("_least")), "least")
+    return rooted.join(least, "root").where(~F.col(key).eqNullSafe(F.col("_least"))).select(key)
