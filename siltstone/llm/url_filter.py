@@ -39,6 +39,21 @@ BLOCKED_URLS = (
     "https://xxx-video.test/watch", "http://adult-cams.test/live", "https://blog.hot-singles.test/join",
     "http://payday-loans.test/apply", "http://www.cheap-loans.test/now", "http://replica-watches.test/shop",
     "https://cheap-handbags.test/sale", "http://betting-tips.test/odds", "https://poker-bonus.test/join",
+    "https://www.sports-bets.test/live", "http://best-bets.test/en/31", "https://m.bets-today.test/odds/2",
+    "http://free-spins.test/fr/8", "https://www.free-bet-codes.test/join", "http://horse-bets.test/es/17",
+    "https://blog.link-farm.test/12", "http://www.content-farm.test/page/9", "https://click-farm.test/en/70",
+    "http://spam-links.test/de/3", "https://www.spam-mailer.test/list", "http://m.seo-spam.test/fr/61",
+    "https://comment-spam.test/x.html", "http://like-farm.test/buy", "https://www.adult-video.test/watch",
+    "http://adult-chat.test/en/6", "https://m.adult-dating.test/join", "http://xxx-tube.test/es/2",
+    "https://www.porn-x.test/clip", "http://sexy-cams.test/live", "https://www.free-warez.test/crack",
+    "http://torrent-crack.test/download", "https://keygen-free.test/get", "http://free-movies-stream.test/play",
+    "https://login-verify-account.test/signin", "http://secure-bank-update.test/confirm", "https://m.miracle-diet.test/order",
+    "http://get-rich-quick.test/now", "https://www.crypto-doubler.test/send", "http://essay-mill.test/buy",
+    "http://spam-blast.test/en/44", "https://www.bulk-spam.test/fr/9", "http://spamdexing.test/de/21",
+    "https://m.review-farm.test/es/6", "http://troll-farm.test/post", "https://account-farm.test/sale",
+    "https://adult-pics.test/en/18", "http://www.adult-movies.test/de/5", "https://free-adult-clips.test/play",
+    "http://m.adult-toys.test/shop", "https://adult-webcam.test/fr/33", "http://blog.adult-stories.test/es/14",
+    "https://x-videos.test/watch", "http://casino-games.test/fr/19", "https://ads-server.test/en/2",
 )
 ALLOWED_URLS = (
     "https://en.encyclopedia.test/wiki/history", "https://www.university.test/research/paper.html",
@@ -52,6 +67,21 @@ ALLOWED_URLS = (
     "http://m.reader.test/en/story/100", "https://www.parliament.test/debates/61", "https://chess.club.test/games/2",
     "http://maps.county.test/roads", "https://www.farmers.test/market", "https://radio.station.test/schedule",
     "http://www.letters.test/es/archive",
+    "https://www.dairy-farm.test/visit", "http://windfarm.energy.test/en/14", "https://blog.farmhouse.test/de/5",
+    "http://alphabet.school.test/letters", "https://m.tibetan.culture.test/fr/3", "http://www.adult-education.test/courses",
+    "https://adults.learning.test/en/22", "http://freedom.press.test/reports", "https://www.free-library.test/catalogue",
+    "http://m.freeway.traffic.test/es/40", "https://xylophone.orchestra.test/concert", "http://www.x-ray.physics.test/paper",
+    "https://winter.sports.test/results", "http://window.repair.test/guide", "https://www.roads.authority.test/de/77",
+    "http://readers.choice.test/en/9", "https://railtrack.museum.test/history", "http://track-cycling.test/club",
+    "https://pillar.architecture.test/fr/6", "http://www.clickstream.research.test/thesis", "https://bank.notes.test/museum",
+    "http://credit-union.test/about", "https://m.cinema.test/en/programme", "http://pharmacy.university.test/study",
+    "https://www.diet.hospital.test/advice", "http://essays.philosophy.test/es/8", "https://thornton.village.test/news",
+    "http://weather.north.test/today", "https://www.northern.theatre.test/fr/30", "http://station.other.test/page/4.html",
+    "https://www.farming.county.test/en/18", "http://spa.gardens.test/visit", "https://spanish.lessons.test/es/2",
+    "http://farther.travel.test/fr/12", "https://m.charm.pottery.test/shop", "http://account.library.test/renew",
+    "http://stories.archive.test/en/18", "https://games.club.test/de/5", "http://server.project.test/docs/2",
+    "https://www.movies.history.test/fr/33", "http://toys.museum.test/es/14", "https://blog.webcam.weather.test/today",
+    "http://pics.nature.test/birds", "https://www.clips.radio.test/en/2", "http://shop.bakery.test/fr/19",
 )
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
