@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from siltstone.llm.arrow import with_texts
@@ -19,7 +20,7 @@ FEATURE_BITS = 18
 GRAMS = (3, 4, 5)
 BLOCK_FROM = 0.5
 
-#: Rows of the labelled table that are used at most.
+#: Rows of the labelled table that are used at most, half of them of either class.
 TRAIN_ROWS = 5000
 
 #: The rules of the filter, host and path as written, longest wins.
@@ -159,9 +160,25 @@ class Model:
         return float(1 / (1 + np.exp(-margin)))
 
 
+def bounded(labelled: Sequence[tuple[str, bool]]) -> list[tuple[str, bool]]:
+    """At most ``TRAIN_ROWS`` rows in their order: of a class beyond its half, those with the least hash of the URL.
+
+    What one class leaves of its half the other may use.
+    """
+    rows = list(labelled)
+    if len(rows) <= TRAIN_ROWS:
+        return rows
+    classes = [[i for i, (_, bad) in enumerate(rows) if bool(bad) == kind] for kind in (False, True)]
+    kept: list[int] = []
+    for own, other in (classes, classes[::-1]):
+        most = max(TRAIN_ROWS // 2, TRAIN_ROWS - len(other))
+        kept += sorted(own, key=lambda i: (xxhash.xxh64_intdigest(rows[i][0].encode()), i))[:most]
+    return [rows[i] for i in sorted(kept)]
+
+
 def train(labelled: Sequence[tuple[str, bool]], steps: int = 800, penalty: float = 1e-4) -> Model:
-    """A model from (url, unwanted) rows, by gradient steps over all of them; no row gives even odds."""
-    rows = list(labelled)[:TRAIN_ROWS]
+    """A model from (url, unwanted) rows, by gradient steps over what ``bounded`` keeps; no row gives even odds."""
+    rows = bounded(labelled)
     weights, bias = np.zeros(_SLOTS), 0.0
     if not rows:
         return Model(weights, bias)

@@ -22,3 +22,14 @@ def test_all_unwanted_families(spark):
 def test_wanted_hosts_with_unwanted_syllables(url):
     host, path = url_filter.split_url(url)
     assert url_filter.default_model().probability(host.encode(), path.encode()) < url_filter.BLOCK_FROM
+
+
+def test_a_long_table_keeps_both_classes(monkeypatch):
+    rows = [(f"http://casino{i}.test/win", True) for i in range(90)] + [(f"http://school{i}.test/en", False) for i in range(30)]
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 40)
+    for order in (rows, rows[::-1]):
+        kept = url_filter.bounded(order)
+        assert len(kept) == 40 and sum(bad for _, bad in kept) == 20
+        assert url_filter.train(order).probability(b"school99.test", b"/en") < 0.5
+    assert url_filter.bounded(rows[85:95]) == rows[85:95]
+    assert len(url_filter.bounded(rows[:95])) == 40 and sum(not bad for _, bad in url_filter.bounded(rows[:95])) == 5
