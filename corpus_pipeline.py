@@ -36,8 +36,11 @@ def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fixed rule or their group's fences reject go."""
-    keyed = docs.withColumn(ROW, row_key())
+    """Documents that the fixed rule or their group's fences reject go.
+
+    Fences differ by language and source, so equal texts of different groups are told apart.
+    """
+    keyed = docs.withColumn(ROW, F.struct(row_key().alias("row"), "lang", "source"))
     return without(keyed, quality.judge(keyed, [ROW]).where(~F.col("kept")))
 
 
