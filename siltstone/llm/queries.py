@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, decontaminate, langid, quality, ring, secret_scan, simhash, sql, token_counts, toxicity, url_filter
+from siltstone.llm import bpe, decontaminate, fim, langid, quality, ring, secret_scan, simhash, sql, token_counts, toxicity, url_filter
 from siltstone.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdicts on all documents."""
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query(sql.FILL_IN_MIDDLE)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut in three and put together again."""
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )

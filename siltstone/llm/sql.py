@@ -153,3 +153,23 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   (not base_failed and not outlier) as kept
 from judged
 """
+
+FILL_IN_MIDDLE = """
+with docs as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as h from documents
+), numbered as (
+  select doc_id, t, length(t) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+    ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from docs
+), formed as (
+  select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from numbered
+), cut as (
+  select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from formed
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m
+    else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from cut
+"""
