@@ -7,7 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, decontaminate, fim, langid, quality, ring, secret_scan, simhash, sql, token_counts, toxicity, url_filter
+from siltstone.llm import (
+    bpe, decontaminate, fim, langid, minhash, negatives, quality, ring, secret_scan, simhash, sql, token_counts, toxicity,
+    url_filter,
+)
 from siltstone.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +124,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query(sql.HARD_NEGATIVES)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector among all; a seventh of the labels is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+@query(sql.NEAR_COPIES)
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by the words they share."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))

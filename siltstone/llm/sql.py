@@ -173,3 +173,53 @@ select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, ca
   sha256(t) as restored_sha256
 from cut
 """
+
+HARD_NEGATIVES = """
+with usable as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.id as anchor_id, b.id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from usable a join usable b on a.id % 100 = 0 and a.id <> b.id
+), best as (
+  select anchor_id, id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id,
+  (row_number() over (partition by anchor_id, positive_id order by s.score desc, s.id))::integer as rank,
+  s.id as negative_id, positive_score, s.score as negative_score
+from best join scored s using (anchor_id)
+where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+NEAR_COPIES = f"""
+with recursive cut as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') as w from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from cut
+), named as (
+  select doc_id, s, len(s) as n, md5(array_to_string(list_sort(s), chr(10))) as d from sets
+), nodes as (
+  select d, any_value(s) as s, any_value(n) as n, min(doc_id) as least from named where n > 0 group by d
+), held as (
+  select d, n, unnest(s) as shingle from nodes
+), links as (
+  select a.d as a, b.d as b from held a join held b on a.shingle = b.shingle and a.d <> b.d
+  group by a.d, b.d having 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach as (
+  select d, d as r from nodes
+  union
+  select links.b as d, reach.r from reach join links on links.a = reach.d
+), rooted as (
+  select reach.d, min(nodes.least) as component_id from reach join nodes on nodes.d = reach.r group by reach.d
+)
+select doc_id, n as n_shingles, coalesce(component_id, doc_id) as component_id, coalesce(component_id, doc_id) = doc_id as kept
+from named left join rooted on rooted.d = named.d
+"""
