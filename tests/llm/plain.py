@@ -103,3 +103,15 @@ def base_spans(text):
 def shingles(text, size=5):
     found = words((text or "").lower())
     return {" ".join(found[i : i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
+
+
+def links(texts, similar=(85, 100)):
+    """The pairs of ids whose sets of five-word shingles are so similar."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    holders, shared = defaultdict(list), defaultdict(int)
+    for i in sorted(sets):
+        for s in sets[i]:
+            for other in holders[s]:
+                shared[other, i] += 1
+            holders[s].append(i)
+    return [p for p, n in shared.items() if similar[1] * n >= similar[0] * (len(sets[p[0]]) + len(sets[p[1]]) - n)]

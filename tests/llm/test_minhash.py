@@ -1,7 +1,5 @@
 """Near copies against brute force over all pairs of shingle sets."""
 
-from collections import defaultdict
-
 import numpy as np
 import oracle
 import plain
@@ -11,23 +9,6 @@ from pyspark.sql import functions as F
 from siltstone.llm import minhash, queries, sql
 
 
-def shingle_set(text):
-    found = plain.words((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
-
-
-def links(texts, similar=(85, 100)):
-    """The pairs of ids whose sets are a link."""
-    sets = {i: shingle_set(t) for i, t in texts.items()}
-    holders, shared = defaultdict(list), defaultdict(int)
-    for i in sorted(sets):
-        for s in sets[i]:
-            for other in holders[s]:
-                shared[other, i] += 1
-            holders[s].append(i)
-    return [p for p, n in shared.items() if similar[1] * n >= similar[0] * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
-
-
 def families(rnd, count, copies, most_words=300, changed=15):
     """Texts of which some share most of their words."""
     texts = {}
@@ -44,12 +25,12 @@ def families(rnd, count, copies, most_words=300, changed=15):
 @pytest.mark.parametrize("similar", [(85, 100), (4, 5), (1, 1)])
 def test_against_all_pairs(spark, monkeypatch, similar):
     texts = families(np.random.default_rng(5), 12, 15) | {1000: None, 1001: "", 1002: " \n", 1003: "two words", 1004: "TWO  Words", 1005: "three"}
-    linked = links(texts, similar)
+    linked = plain.links(texts, similar)
     least = plain.classes(linked, texts)
     rows = list(texts.items())
     docs = spark.createDataFrame([*rows, *rows[:20], *rows[:1] * 40], "doc_id long, text string").withColumn("node", F.lit("clash"))
-    want = sorted({(i, len(shingle_set(t)), least[i], least[i] == i) for i, t in rows})
-    assert len(linked) > 20 and (similar == (1, 1) or any(shingle_set(texts[a]) != shingle_set(texts[b]) for a, b in linked))
+    want = sorted({(i, len(plain.shingles(t)), least[i], least[i] == i) for i, t in rows})
+    assert len(linked) > 20 and (similar == (1, 1) or any(plain.shingles(texts[a]) != plain.shingles(texts[b]) for a, b in linked))
     assert sorted(map(tuple, minhash.near_duplicates(docs, similar=similar).distinct().collect())) == want
     monkeypatch.setattr(minhash, "BROADCAST_ROWS", -1)
     made = minhash.near_duplicates(docs, similar=similar)
@@ -63,7 +44,7 @@ def test_rows_it_must_bear(spark):
     made = minhash.near_duplicates(docs).collect()
     assert len(made) == docs.count()
     texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null").collect()}
-    least = plain.classes(links(texts), texts)
+    least = plain.classes(plain.links(texts), texts)
     assert {(r["doc_id"], r["component_id"]) for r in made if r["doc_id"] is not None} == set(least.items())
     assert sorted((r["n_shingles"], r["component_id"], r["kept"]) for r in made if r["doc_id"] is None) == [(0, None, True), (2, None, True)]
     assert minhash.near_duplicates(plain.empty_docs(spark)).collect() == []
@@ -98,7 +79,7 @@ def test_texts_that_are_not_alike_enough_are_not_compared(spark, monkeypatch):
         texts = {i: " ".join([common, *(f"x{i}at{at}" for at in range(20))]) for i in range(n)}
         found, classes = pairs_verified(spark, monkeypatch, texts, (4, 5))
         counts.append(found)
-        assert classes == len(set(plain.classes(links(texts, (4, 5)), texts).values()))
+        assert classes == len(set(plain.classes(plain.links(texts, (4, 5)), texts).values()))
     assert counts[1] <= max(2.5 * counts[0], 100)
 
 

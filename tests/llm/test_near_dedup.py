@@ -1,69 +1,24 @@
 """The stage against brute force over all pairs: no near copy of five-word shingles may stay."""
 
-from collections import defaultdict
-
-import numpy as np
 import plain
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from siltstone.llm import overlap
 
 SF = "/root/testdata/sf0.01"
 
 
-def shingle_set(text):
-    found = plain.words((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
-
-
-def links(texts):
-    """The pairs of ids whose sets have a similarity of 0.8 or more."""
-    sets = {i: shingle_set(t) for i, t in texts.items()}
-    holders, shared = defaultdict(list), defaultdict(int)
-    for i in sorted(sets):
-        for s in sets[i]:
-            for other in holders[s]:
-                shared[other, i] += 1
-            holders[s].append(i)
-    return [p for p, n in shared.items() if 5 * n >= 4 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
-
-
 def test_no_near_copy_stays(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = dict(docs.select("doc_id", "text").collect())
     apart = [i for i, _, least in plain.near_duplicates(list(texts.items())) if i == least]
-    linked = links({i: texts[i] for i in apart})
+    linked = plain.links({i: texts[i] for i in apart}, (4, 5))
     least = plain.classes(linked, apart)
     assert len(linked) >= 4  # which four bits leave
     kept = [r["doc_id"] for r in pipeline.near_dedup(spark, docs, SF).select("doc_id").collect()]
     assert sorted(kept) == [i for i in sorted(apart) if least[i] == i]
 
 
-def test_classes_against_all_pairs(spark, monkeypatch):
-    rnd = np.random.default_rng(5)
-    texts = {}
-    for _ in range(12):
-        base = [f"w{x}" for x in rnd.integers(0, 10**6, int(rnd.integers(3, 300)))]
-        for _ in range(15):
-            made = list(base)
-            for at in rnd.integers(0, len(made), int(rnd.integers(0, 1 + len(made) // 15))):
-                made[at] = f"x{rnd.integers(0, 10**6)}"
-            texts[len(texts)] = " ".join(made)
-    texts |= {1000: None, 1001: "", 1002: " \n"}
-    linked = links(texts)
-    least = plain.classes(linked, texts)
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    docs = docs.unionByName(docs.where("doc_id < 20")).withColumn("id", F.lit("clash"))
-    want = sorted(i for i in texts if least[i] != i)
-    assert want and len(linked) > len(want)
-    assert sorted(r[0] for r in overlap.duplicates(docs).collect()) == want
-    monkeypatch.setattr(overlap, "BROADCAST_ROWS", -1)
-    assert sorted(r[0] for r in overlap.duplicates(docs).collect()) == want
-    assert overlap.duplicates(docs.limit(0)).collect() == []
-
-
 @pytest.mark.parametrize("words", [248, 60])
 def test_two_words_replaced(spark, words):
     found = [f"word{i}" for i in range(words)]
