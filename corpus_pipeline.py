@@ -9,14 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, decontaminate, overlap, quality, secret_scan, simhash
+from siltstone.llm import bpe, decontaminate, minhash, quality, secret_scan, simhash
 from siltstone.session import configure, materialise, scratch_path, scratch_scope
 from siltstone.sources.files import remove
 
 #: Rows of a side table that are broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
-ROW = "__row"
+#: Least similarity of five-word shingle sets at which a document is a copy.
+COPY = (4, 5)
+
+
+def free(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def row_key() -> Column:
@@ -29,10 +38,11 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs``, which has its row key, without the rows named; the key goes."""
-    gone = sized(materialise(rows.select(F.col(ROW).alias("_gone")).distinct(), "gone"))
-    return docs.join(gone, docs[ROW].eqNullSafe(gone["_gone"]), "left_anti").drop(ROW)
+def without(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+    """``docs`` without the rows that ``rows`` names in the column ``row``, which goes."""
+    out = free(docs, "gone")
+    gone = sized(materialise(rows.select(F.col(row).alias(out)).distinct(), "gone"))
+    return docs.join(gone, docs[row].eqNullSafe(gone[out]), "left_anti").drop(row)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,46 +50,51 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Fences differ by language and source, so equal texts of different groups are told apart.
     """
-    keyed = docs.withColumn(ROW, F.struct(row_key().alias("row"), "lang", "source"))
-    return without(keyed, quality.judge(keyed, [ROW]).where(~F.col("kept")))
+    row = free(docs, "row")
+    keyed = docs.withColumn(row, F.struct(row_key().alias("row"), "lang", "source"))
+    return without(keyed, quality.judge(keyed, [row]).where(~F.col("kept")), row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the least id stays, and one copy of it.
 
     Classes are those of the fingerprints, and among what these leave those of
-    texts that share their word shingles.
+    texts that share four fifths of their word shingles.
     """
-    keyed = docs.withColumn(ROW, row_key())
-    apart = without(keyed, simhash.duplicates(keyed, ROW)).withColumn(ROW, row_key())
-    left = without(apart, overlap.duplicates(apart, ROW)).withColumn(ROW, row_key())
-    repeated = materialise(keyed.groupBy(ROW).count().where("count > 1").select(F.col(ROW).alias("_again")), "repeated")
+    row = free(docs, "row")
+    keyed = docs.withColumn(row, row_key())
+    apart = without(keyed, simhash.duplicates(keyed, row), row).withColumn(row, row_key())
+    left = without(apart, minhash.duplicates(apart, row, similar=COPY), row).withColumn(row, row_key())
+    again = free(left, "again")
+    repeated = materialise(left.groupBy(row).agg(F.count("*").alias(again)).where(F.col(again) > 1).select(F.col(row).alias(again)), "repeated")
     if repeated.isEmpty():
-        return left.drop(ROW)
+        return left.drop(row)
     # Only rows that repeat exactly are dealt out by key to keep one of each.
-    again = sized(repeated)
-    same = left[ROW].eqNullSafe(again["_again"])
-    once = left.join(again, same, "left_semi").dropDuplicates([ROW])
-    return left.join(again, same, "left_anti").unionByName(once).drop(ROW)
+    found = sized(repeated)
+    same = left[row].eqNullSafe(found[again])
+    once = left.join(found, same, "left_semi").dropDuplicates([row])
+    return left.join(found, same, "left_anti").unionByName(once).drop(row)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    keyed = docs.withColumn(ROW, row_key())
-    return without(keyed, decontaminate.contaminated(keyed, items, ROW))
+    row = free(docs, "row")
+    keyed = docs.withColumn(row, row_key())
+    return without(keyed, decontaminate.contaminated(keyed, items, row), row)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets that look live are masked in the texts; widely copied examples stay."""
-    keyed = docs.withColumn(ROW, row_key())
-    found = secret_scan.scan(keyed, ROW).select(
-        F.col(ROW).alias("_found"), F.filter("spans", lambda s: s["live"]).alias("_live")
-    ).where(F.size("_live") > 0)
+    row, at, live = (free(docs, name) for name in ("row", "found_at", "live_spans"))
+    keyed = docs.withColumn(row, row_key())
+    found = secret_scan.scan(keyed, row).select(
+        F.col(row).alias(at), F.filter("spans", lambda s: s["live"]).alias(live)
+    ).where(F.size(live) > 0)
     found = sized(materialise(found, "secrets"))
-    joined = keyed.join(found, keyed[ROW].eqNullSafe(found["_found"]), "left")
-    hit = F.col("_live").isNotNull()
-    result = joined.withColumn("text", F.when(hit, secret_scan.redact(F.col("text"), F.col("_live"))).otherwise(F.col("text")))
+    joined = keyed.join(found, keyed[row].eqNullSafe(found[at]), "left")
+    hit = F.col(live).isNotNull()
+    result = joined.withColumn("text", F.when(hit, secret_scan.redact(F.col("text"), F.col(live))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:  # of the masked text
         result = result.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return result.select(*(F.col(f"`{c}`") for c in docs.columns))
