@@ -15,8 +15,8 @@ with a chance of ``MISS`` at most (with 512 bins: 9 rows and 56 bands for 0.85).
 Candidates of a bucket are a star: each member with the bucket's hub, the member
 that lies in the largest buckets, which copies of one text mostly link to.  What
 the stars join is one group; only then members of different groups that share a
-bucket meet, and only if neither their sizes, nor the shingles that no other such
-text holds, nor a bit for each bin rule a link out.
+bucket meet, and only if neither a bound on what they share, from the places their
+hashes fall on, nor a bit for each bin rules a link out.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ BROADCAST_ROWS = 1_000_000
 
 _SHIFT = np.uint64(64 - 9)
 _WORDS = BINS // 64
+#: Places that a set's hashes are marked on, to bound what two sets share.
+PLACES = 1_024
 
 
 def band_rows(similar: tuple[int, int] = SIMILAR) -> int:
@@ -133,11 +135,18 @@ def _signed(rows: int) -> object:
     return step
 
 
+def _place_bits(found: np.ndarray) -> np.ndarray:
+    """One bit for each of the places that hashes of the set fall on."""
+    held = np.zeros(PLACES, bool)
+    held[(found >> np.uint64(20)).astype(np.int64) % PLACES] = True
+    return np.packbits(held).view(np.int64)
+
+
 def _members() -> object:
     def step(texts: list[bytes | None]) -> list[Sequence]:
         sets = [shingle_set(t) for t in texts]
         halves = [_halves(s) for s in sets]
-        return [[h[0] for h in halves], [h[1] for h in halves], [s.view(np.int64) for s in sets]]
+        return [[h[0] for h in halves], [h[1] for h in halves], [_place_bits(s) for s in sets], [s.view(np.int64) for s in sets]]
 
     return step
 
@@ -166,6 +175,17 @@ def _bits_allow(a: Column, b: Column, similar: tuple[int, int]) -> Column:
     return sum((F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(_WORDS)), F.lit(0)) <= most
 
 
+def _places_allow(a: str, b: str, similar: tuple[int, int]) -> Column:
+    """Whether as many members may be shared as a link needs: never false for a link.
+
+    A member on a place that the other set has none on is not shared, and every
+    such place holds one member at least.
+    """
+    both = sum((F.bit_count(F.get(f"{a}_places", i).bitwiseAND(F.get(f"{b}_places", i))) for i in range(PLACES // 64)), F.lit(0))
+    most = F.least(*(F.col(f"{x}_n") - F.col(f"{x}_marked") + both for x in (a, b)))
+    return _reaches(most, F.col(f"{a}_n"), F.col(f"{b}_n"), similar)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are a link."""
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("_of_a"))
@@ -189,16 +209,11 @@ def _side(rows: DataFrame, name: str) -> DataFrame:
 
 def _across(rest: DataFrame, sets: DataFrame, facts: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Pairs of different groups that share a bucket and that nothing but the full sets can rule out."""
-    nodes = rest.select("node").distinct()
-    held = sets.join(nodes, "node", "left_semi").select("node", F.explode("members").alias("_s"))
-    # Of a shingle that only one of these texts holds, no pair has a share.
-    alone = held.groupBy("_s").agg(F.count("*").alias("_n"), F.min("node").alias("node")).where("_n = 1")
-    alone = alone.groupBy("node").agg(F.count("*").alias("_alone"))
-    common = facts.join(alone, "node", "left").withColumn("common", F.col("n") - F.coalesce("_alone", F.lit(0))).drop("_alone")
-    full = materialise(rest.join(common, "node").select("key", "node", "group", "n", "common", "bits"), "meeting")
-    shared = F.least("a_common", "b_common")
+    marked = sum((F.bit_count(F.get("places", i)) for i in range(PLACES // 64)), F.lit(0))
+    about = facts.join(sets.select("node", "places", marked.alias("marked")), "node")
+    full = materialise(rest.join(about, "node").select("key", "node", "group", "n", "marked", "places", "bits"), "meeting")
     return _side(full, "a").join(_side(full, "b"), "key").where(
-        (F.col("a_group") < F.col("b_group")) & _reaches(shared, F.col("a_n"), F.col("b_n"), similar)
+        (F.col("a_group") < F.col("b_group")) & _places_allow("a", "b", similar)
         & _bits_allow(F.col("a_bits"), F.col("b_bits"), similar)
     ).select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
@@ -237,9 +252,9 @@ def classes(
     firsts = _sized(wanted.select(F.col("first").alias("_first")).distinct())
     near = docs.select(docs[f"`{key}`"].alias("_key"), docs[f"`{text}`"].alias("_text"))
     near = near.join(firsts, F.col("_key").eqNullSafe(F.col("_first")), "left_semi")
-    sets = with_texts(near, ["_key"], "_text", [*_DIGEST, _longs("members")], _members)
+    sets = with_texts(near, ["_key"], "_text", [*_DIGEST, _longs("places"), _longs("members")], _members)
     sets = sets.join(wanted, ["d1", "d2"]).where(F.col("_key").eqNullSafe(F.col("first")))
-    sets = materialise(sets.select("node", "members").distinct(), "sets")
+    sets = materialise(sets.select("node", "places", "members").distinct(), "sets")
 
     links = materialise(_verified(stars, sets, similar), "links")
     first = materialise(components(links).withColumnRenamed("root", "group"), "first")

@@ -4,6 +4,7 @@ import numpy as np
 import oracle
 import plain
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.llm import minhash, queries, sql
@@ -111,3 +112,13 @@ def test_densified_bins_agree_as_often_as_sets_do(size):
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     assert oracle.compare(queries.QUERIES["op13_minhash"](spark, sf), oracle.connect(sf), sql.NEAR_COPIES) == []
+
+
+@given(st.sets(st.integers(0, 3_000), min_size=1, max_size=400), st.sets(st.integers(0, 3_000), min_size=1, max_size=400))
+@settings(max_examples=60, deadline=None)
+def test_places_bound_what_is_shared(a, b):
+    """What the bound on shared members rests on."""
+    hashed = [np.unique(np.array(sorted(x), np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for x in (a, b)]
+    on = [np.unpackbits(minhash._place_bits(h).view(np.uint8)).astype(bool) for h in hashed]
+    both = (on[0] & on[1]).sum()
+    assert len(a & b) <= min(len(a) - on[0].sum() + both, len(b) - on[1].sum() + both)
