@@ -6,7 +6,9 @@ what replaces a folder is first written elsewhere in the shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -17,15 +19,33 @@ from siltstone.functions.matching import same
 from siltstone.operators.dedup import dedup_latest
 from siltstone.operators.slices import POSITION, SLICE, sorted_slices, with_neighbour
 from siltstone.session import materialise, scratch_scope
-from siltstone.sources.files import remove
-from siltstone.sources.sinks import write_partitioned
-from siltstone.sources.tables import declare_schema, read_table_if_any
+from siltstone.sources.commits import (
+    BAD, LOG, begin, commit, index_name, key_index, stage_beside, stage_keys, staged, staged_folders,
+)
+from siltstone.sources.files import folder_names, move, names_in, remove, replace_table
+from siltstone.sources.tables import SCHEMA_FOLDER, read_table_if_any, schema_text
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
 
-def upsert_latest(target: DataFrame, source: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
-    """Union of both sides with the newest row per key; at equal age the source wins."""
+@dataclass(frozen=True)
+class Settled:
+    """How copies of equal age are settled by what they hold, so that the order of merges does not matter.
+
+    The one with the lowest ``oldest`` stays, then the first in the order of all
+    columns but those ``apart``.
+    """
+
+    oldest: tuple[str, ...] = ()
+    apart: tuple[str, ...] = ()
+
+
+def upsert_latest(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newest: Sequence[str], settled: Settled | None = None
+) -> DataFrame:
+    """Union of both sides with the newest row per key; at equal age the source wins, or what ``settled`` says."""
+    if settled is not None:
+        return dedup_latest(target.unionByName(source), keys, newest, settled.oldest, settled.apart)
     both = target.withColumn("_side", F.lit(0)).unionByName(source.withColumn("_side", F.lit(1)))
     return dedup_latest(both, keys, [*newest, "_side"]).drop("_side")
 
@@ -38,55 +58,112 @@ def upsert_table(
     columns: Sequence[str] = PARTITION_COLUMNS,
     filed_by_key: bool = False,
     outdated: Column | None = None,
-) -> None:
-    """Merge ``source`` into a partitioned table, rewriting only the folders concerned.
+    settled: Settled | None = None,
+    beside: Mapping[str, DataFrame] | None = None,
+) -> set[str]:
+    """Merge ``source`` into a partitioned table, rewriting only the folders concerned, and name these.
 
     Those are the folders of the source rows and the folders that hold an older
-    row of the same key.  The latter are found from the key columns of the whole
-    table, unless a key always belongs to the same folder (``filed_by_key``).
+    row of the same key.  The latter are found in the table's key index, unless
+    a key always belongs to the same folder (``filed_by_key``).  The index is
+    made from the key columns when a table is merged into for the first time,
+    and kept with every merge.
 
     Columns that only one side has are kept, null on the other, and a column may
     become wider; folders that are not rewritten read null for a new column.
     Rows of the table that meet ``outdated``, a condition on the folder columns,
-    go whether or not a newer row replaces them.
+    go whether or not a newer row replaces them.  What is to be kept ``beside``
+    the rows, as the log of files taken in, is added to what is there.  All of it
+    is one commit: it is made whole or not at all.
     """
     with scratch_scope(source.sparkSession):
-        _upsert(path, source, keys, newest, columns, filed_by_key, outdated)
+        return _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside or {})
+
 
+def replace_rows(
+    path: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] = PARTITION_COLUMNS,
+    filed_by_key: bool = False,
+    beside: Mapping[str, DataFrame] | None = None,
+    keep: Sequence[str] = (),
+) -> set[str]:
+    """Put a table of ``rows``, unique on ``keys``, in the place of the one at ``path``, and name its folders.
 
-def _upsert(path, source, keys, newest, columns, filed_by_key, outdated) -> None:
+    The key index and what is to stand ``beside`` the rows are part of it; of the
+    old table only what ``keep`` names goes over.
+    """
+    spark = rows.sparkSession
+    begin(spark, path)
+    kept = {name: [f"{path}/{name}/{part}" for part in names_in(spark, f"{path}/{name}")] for name in keep}
+
+    def fill(target: str) -> None:
+        rows.hint("rebalance", *columns).write.partitionBy(*columns).parquet(target)
+        if not filed_by_key and folder_names(spark, target, columns):
+            for made, name in stage_keys(spark.read.parquet(target), target, keys, columns).items():
+                move(spark, f"{target}/{made}", f"{target}/{name}")
+            remove(spark, [f"{target}/keys"])
+        for name, more in (beside or {}).items():
+            more.write.json(f"{target}/{name}/{uuid.uuid4().hex}")
+        for name, parts in kept.items():
+            if parts:
+                spark.read.text(parts).write.text(f"{target}/{name}/{uuid.uuid4().hex}")
+
+    replace_table(spark, path, fill)
+    return set(folder_names(spark, path, columns))
+
+
+def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside) -> set[str]:
     spark = source.sparkSession
+    begin(spark, path)
+    order = (newest, settled.oldest, settled.apart) if settled is not None else (newest,)
     # Read several times below, and perhaps derived from the table itself.
-    source = materialise(dedup_latest(source, keys, newest), "upsert-source")
+    source = materialise(dedup_latest(source, keys, *order), "upsert-source")
     target = read_table_if_any(spark, path)
     if target is None:
-        write_partitioned(source, path, columns)
-        return
+        return replace_rows(path, source, keys, columns, filed_by_key, beside, keep=(LOG, BAD))
 
+    change = staged(spark, path)
     schema = evolved_schema(target.schema, source.schema)
     retyped = any(f.name in target.columns and f.dataType != target.schema[f.name].dataType for f in schema.fields)
-    folders = folders_of(target if retyped else source, columns)
+    source = conform(source, schema)
+    folders = folders_of(source, columns)
     if retyped:
         # Files hold a column in one type, so a wider one is written anew everywhere.
-        folders |= folders_of(source, columns)
+        folders |= folders_of(target, columns)
     if outdated is not None:
         folders |= folders_of(target.where(outdated), columns)
-    if not filed_by_key:
-        held = target.select(*dict.fromkeys([*keys, *columns])).alias("t")
-        folders |= folders_of(held.join(source.select(*keys).alias("s"), same("t", "s", keys), "left_semi"), columns)
+    index = None
+    if not filed_by_key and not retyped:
+        index = key_index(spark, path, keys, T.StructType([target.schema[c] for c in columns]))
+        held = index if index is not None else target.select(F.xxhash64(*keys).alias("h"), *columns)
+        folders |= folders_of(held.join(source.select(F.xxhash64(*keys).alias("h")), "h", "left_semi"), columns)
     touched = target.where(in_folders(columns, folders))
     if outdated is not None:
         touched = touched.where(~F.coalesce(outdated, F.lit(False)))
-    merged = upsert_latest(conform(touched, schema), conform(source, schema), keys, newest)
-    merged = materialise(merged, "upsert-merged")
-    if schema != target.schema:
-        declare_schema(spark, path, schema)
-    write_partitioned(merged, path, columns, only_touched=True)
-    if not filed_by_key or outdated is not None:
-        # A folder whose last row has moved to another one is not overwritten by any row.
-        nothing = merged.drop(*columns).limit(0)
-        for emptied in sorted(folders - folders_of(merged, columns)):
-            nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
+    merged = upsert_latest(conform(touched, schema), source, keys, newest, settled)
+    merged.hint("rebalance", *columns).write.partitionBy(*columns).parquet(f"{change}/rows")
+
+    written = staged_folders(spark, change, "rows", columns)
+    # A folder whose last row has moved to another one is not overwritten by any row.
+    emptied = folders - set(written)
+    moves, removes = {f"rows/{f}": f for f in written}, sorted(emptied)
+    if not filed_by_key:
+        rows = spark.read.schema(schema).parquet(f"{change}/rows")
+        if index is None:
+            rows = rows.select(*keys, *columns).unionByName(
+                conform(target, schema).where(~in_folders(columns, folders)).select(*keys, *columns)
+            )
+        moves |= stage_keys(rows, change, keys, columns)
+        removes += [f"{index_name(keys)}/{f}" for f in emptied]
+    added, merged_parts = stage_beside(spark, path, change, beside)
+    texts = {}
+    if schema != target.schema or emptied:
+        texts, removes = schema_text(schema), [*removes, SCHEMA_FOLDER]
+    moves, removes = moves | added, removes + merged_parts
+    commit(spark, path, change, moves, removes, texts)
+    return folders | set(written)
 
 
 def incremental_load(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from siltstone.functions import cleaning as c, nested as n
 from siltstone.operators.dedup import dedup_latest
 from siltstone.schemas import BIKEPOINT_PROPERTIES
+from siltstone.sources.feeds import CORRUPT, DAY_FOLDERS, FILE
 
 PROCESSED = "_silver_processed_at"
 INGESTED = "_ingested_at"
@@ -31,6 +32,8 @@ class SilverTable:
     clean: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     time: str
+    #: Condition on a raw record without which cleaning leaves no row of it.
+    complete: str
     newest: tuple[str, ...] = ()
     lowest: tuple[str, ...] = ()
     finish: Callable[[DataFrame], DataFrame] | None = None
@@ -56,6 +59,20 @@ def with_days(table: SilverTable, bronze: DataFrame) -> DataFrame:
     return c.with_partition_columns(table.clean(bronze), table.time)
 
 
+def route(table: SilverTable, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Part records read with their corrupt text and file: those to clean, and (line, reason, file) to set aside.
+
+    A record of which some fields parsed is cleaned with these, and its line is set aside as well.
+    """
+    unparsed, complete = F.col(CORRUPT).isNotNull(), F.coalesce(F.expr(table.complete), F.lit(False))
+    fields = [c for c in marked.columns if c not in (CORRUPT, FILE)]
+    line = F.coalesce(CORRUPT, F.to_json(F.struct(*(F.col(f"`{x}`") for x in fields if x not in DAY_FOLDERS))))
+    bad = marked.where(unparsed | ~complete).select(
+        line.alias("line"), F.when(unparsed, "unparsed").otherwise("incomplete").alias("reason"), F.col(FILE).alias("file")
+    )
+    return marked.where(complete).select(*(F.col(f"`{x}`") for x in fields)), bad
+
+
 def build(table: SilverTable, bronze: DataFrame, at: str | None = None) -> DataFrame:
     """The cleaned table of a feed read with its declared schema.
 
@@ -154,14 +171,17 @@ def strip_forecast_text(df: DataFrame) -> DataFrame:
 
 
 TABLES = {
-    "arrivals": SilverTable(clean_arrivals, ("id", "timestamp"), "timestamp", (INGESTED,)),
-    "line_status": SilverTable(clean_line_status, ("id", INGESTED, "statusSeverity"), INGESTED),
-    "bikepoints": SilverTable(clean_bikepoints, ("id", INGESTED), INGESTED),
-    "stoppoints": SilverTable(clean_stoppoints, ("id",), INGESTED, (INGESTED,)),
+    "arrivals": SilverTable(
+        clean_arrivals, ("id", "timestamp"), "timestamp", "id is not null and naptanId is not null and lineId is not null", (INGESTED,)
+    ),
+    "line_status": SilverTable(clean_line_status, ("id", INGESTED, "statusSeverity"), INGESTED, "id is not null"),
+    "bikepoints": SilverTable(clean_bikepoints, ("id", INGESTED), INGESTED, "id is not null"),
+    "stoppoints": SilverTable(clean_stoppoints, ("id",), INGESTED, "coalesce(id, naptanId) is not null", (INGESTED,)),
     "air_quality": SilverTable(
-        clean_air_quality, ("forecastId", "forecastType"), INGESTED, (INGESTED,), finish=decode_forecast_text
+        clean_air_quality, ("forecastId", "forecastType"), INGESTED, "exists(currentForecast, f -> f.forecastID is not null)",
+        (INGESTED,), finish=decode_forecast_text,
     ),
-    "accidents": SilverTable(clean_accidents, ("id",), "date", (INGESTED,), append=True),
+    "accidents": SilverTable(clean_accidents, ("id",), "date", "id is not null", (INGESTED,), append=True),
 }
 
 

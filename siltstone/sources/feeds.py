@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,7 @@ from siltstone.sources.sinks import write_partitioned
 # Folder names of the raw layer, ``year=YYYY/month=MM/day=dd``.
 DAY_FOLDERS = ("year", "month", "day")
 CORRUPT = "_corrupt_record"
+FILE = "_file"
 
 
 def read_feed(
@@ -22,17 +24,23 @@ def read_feed(
     first: date | None = None,
     last: date | None = None,
     partitioned: bool = True,
+    files: Sequence[str] | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """Read JSON lines with a declared schema; the day range prunes folders.
 
     Lines that do not parse come back with nulls, as the required-field filter
-    of the cleaning jobs expects; ``split_lines`` is the scan that keeps them.
+    of the cleaning jobs expects; if ``marked`` they come with their text and
+    every row with its file.  With ``files`` only these are opened.
     """
-    full = T.StructType(list(schema.fields))
+    full = T.StructType([*schema.fields, *([T.StructField(CORRUPT, T.StringType())] if marked else [])])
     if partitioned:
         for name in DAY_FOLDERS:
             full = full.add(name, T.IntegerType())
-    df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path)
+    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    df = reader.json(path) if files is None else reader.option("basePath", path).json(list(files))
+    if marked:
+        df = df.withColumn(FILE, F.col("_metadata.file_path"))
     if first is not None or last is not None:
         df = df.where(in_days(DAY_FOLDERS, first, last))
     return df
@@ -59,7 +67,7 @@ def split_lines(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines of a landed feed with the file they came from, for quarantine."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), *DAY_FOLDERS)
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias(FILE), *DAY_FOLDERS)
 
 
 def with_day_folders(df: DataFrame, time_column: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.matching import same
+from siltstone.sources.commits import commit, forget_keys, staged, staged_folders
 from siltstone.sources.files import replace_table
 from siltstone.sources.tables import read_table_if_any
 
@@ -27,6 +28,7 @@ def write_partitioned(
     only_touched: bool = False,
     fmt: str = "parquet",
     filed: bool = False,
+    emptied: Collection[str] = (),
 ) -> None:
     """Write a table in folders.
 
@@ -35,14 +37,23 @@ def write_partitioned(
     many tasks.  Rows that come from a table in the same folders and were not
     shuffled since are ``filed`` already and spared that shuffle.  With
     ``only_touched`` an overwrite keeps the folders that the new rows do not
-    mention; without it the whole table is replaced, and stays as it was should
-    the write fail.
+    mention, but for those ``emptied``; without it the whole table is replaced.
+    Either way the table stays as it was should the write fail, and a stop while
+    folders are put in place is made good later.
     """
     writer = (df if filed else df.hint("rebalance", *columns)).write.partitionBy(*columns).format(fmt)
-    if mode == "overwrite" and not only_touched:
-        replace_table(df.sparkSession, path, lambda staged: writer.mode("error").save(staged))
+    spark = df.sparkSession
+    if mode != "overwrite":
+        forget_keys(spark, path)
+        writer.mode(mode).save(path)
+    elif only_touched:
+        change = staged(spark, path)
+        writer.mode("error").save(f"{change}/rows")
+        forget_keys(spark, path)
+        written = staged_folders(spark, change, "rows", columns)
+        commit(spark, path, change, {f"rows/{f}": f for f in written}, set(emptied) - set(written))
     else:
-        writer.mode(mode).option("partitionOverwriteMode", "dynamic").save(path)
+        replace_table(spark, path, lambda target: writer.mode("error").save(target))
 
 
 def write_dimension(df: DataFrame, path: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.timekeys import in_days
+from siltstone.sources.commits import ready
 
 
 # A table whose schema has grown keeps it beside its folders; readers skip names that begin so.
@@ -28,10 +29,9 @@ def declared_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return None if row is None else T.StructType.fromJson(json.loads(row[0]))
 
 
-def declare_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Keep the schema under which older and newer folders are to be read."""
-    written = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-    written.write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+def schema_text(schema: T.StructType) -> dict[str, str]:
+    """What a commit keeps so that older and newer folders are read under one schema."""
+    return {f"{SCHEMA_FOLDER}/schema.json": schema.json()}
 
 
 def read_table(
@@ -41,7 +41,11 @@ def read_table(
     first: date | None = None,
     last: date | None = None,
 ) -> DataFrame:
-    """Read a layer table; a day range prunes its ``_year/_month/_day`` folders."""
+    """Read a layer table; a day range prunes its ``_year/_month/_day`` folders.
+
+    What a stopped writer has left undone is made good first.
+    """
+    ready(spark, path)
     schema = declared_schema(spark, path)
     df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     if first is not None or last is not None:

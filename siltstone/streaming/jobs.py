@@ -7,26 +7,33 @@ The facts need no streaming twin; ``plans.facts`` accepts a streaming frame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
-from siltstone.operators.merge import upsert_table
+from siltstone.operators.dedup import earliest_order, survivor_columns
+from siltstone.operators.merge import Settled, upsert_table
 from siltstone.operators.starjoin import STREAM_SALTS
-from siltstone.plans.silver import SilverTable, finish
-from siltstone.sources.feeds import DAY_FOLDERS, parse_lines, with_day_folders
+from siltstone.plans.silver import INGESTED, PROCESSED, SilverTable, finish, route
+from siltstone.session import materialise, scratch_scope
+from siltstone.sources.commits import BAD
+from siltstone.sources.feeds import CORRUPT, DAY_FOLDERS, FILE, parse_lines, with_day_folders
+
+EVENT = "_event_time"
 
 
 def read_feed_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_per_trigger: int | None = None, marked: bool = False
 ) -> DataFrame:
-    """Files that appear under ``path`` as a stream."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """Files that appear under ``path`` as a stream; ``marked`` rows keep their text where it did not parse, and their file."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if marked else schema
+    reader = spark.readStream.format(fmt).schema(full).option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    stream = reader.load(path)
+    return stream.withColumn(FILE, F.col("_metadata.file_path")) if marked else stream
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
@@ -96,6 +103,74 @@ def silver_stream(
     return finish(drop_copies(clean, table.keys, salts), table, at)
 
 
+def settled_stream(table: SilverTable, stream: DataFrame, delay: str, at: str | None = None) -> DataFrame:
+    """Clean a feed and emit, for each key, the very row that the batch table keeps.
+
+    A key is emitted once no more copies can come, when its time is ``delay``
+    older than the newest seen; until then its best row is state, one per key.
+    Copies meet in a partial aggregate before the shuffle, so a key with any
+    number of them sends one row per task.  Rows without a time of their own go by
+    that of their ingestion.  The key must hold the time: other tables are fed by
+    ``upsert_stream``.
+    """
+    if not table.filed_by_key:
+        raise ValueError("only a key that holds its time can be closed; use upsert_stream")
+    clean = table.clean(stream)
+    # The group's own time column carries the watermark, so it cannot be null.
+    timed = clean.withColumn(EVENT, F.coalesce(table.time, INGESTED, F.timestamp_seconds(F.lit(0)))).withWatermark(EVENT, delay)
+    least = F.min(earliest_order(clean, table.keys, table.newest, table.lowest)).alias("_least")
+    closed = timed.groupBy(EVENT, *table.keys).agg(least)
+    return finish(closed.select(*survivor_columns("_least", clean, table.keys, table.newest)), table, at)
+
+
+def each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame], None]) -> StreamingQuery:
+    """Do ``work`` with each micro-batch of what is available now, and wait for it."""
+
+    def run(batch: DataFrame, _batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            work(batch)
+
+    query = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def fact_stream(
+    rows: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, keys: Sequence[str],
+    newest: Sequence[str], columns: Sequence[str] = PARTITION_COLUMNS,
+) -> StreamingQuery:
+    """Turn each micro-batch of cleaned rows into facts and merge these; a batch that is replayed changes nothing.
+
+    Inside a batch ``build`` joins a bounded frame: sizes are measured and heavy
+    keys counted, so that a large dimension is neither broadcast nor repeated for
+    keys that are not heavy in this batch.
+    """
+    def work(batch: DataFrame) -> None:
+        # Written out, since its keys are counted before it is joined.
+        upsert_table(path, build(materialise(batch, "micro-batch")), keys, newest, columns, filed_by_key=True)
+
+    return each_batch(rows, checkpoint, work)
+
+
+def routed_stream(
+    table: SilverTable, path: str, marked: DataFrame, checkpoint: str, at: str | None = None
+) -> StreamingQuery:
+    """Merge a feed's files as they appear, and set aside the lines that give no row, from one scan and in one commit.
+
+    ``marked`` is a stream that ``read_feed_stream(..., marked=True)`` gave.
+    """
+
+    def work(batch: DataFrame) -> None:
+        good, bad = route(table, materialise(batch, "micro-batch"))
+        bad = materialise(bad, "bad")
+        upsert_table(
+            path, finish(table.clean(good), table, at), table.keys, table.newest, filed_by_key=table.filed_by_key,
+            settled=Settled(table.lowest, (PROCESSED,)), beside={} if bad.isEmpty() else {BAD: bad},
+        )
+
+    return each_batch(marked, checkpoint, work)
+
+
 def upsert_stream(
     df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], newest: Sequence[str],
     columns: Sequence[str] = PARTITION_COLUMNS, filed_by_key: bool = False,
@@ -106,14 +181,7 @@ def upsert_stream(
     a table that batch jobs also write, a backfill for one, is fed this way.
     """
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
+    def work(batch: DataFrame) -> None:
         upsert_table(path, batch, keys, newest, columns, filed_by_key)
 
-    query = (
-        df.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return each_batch(df, checkpoint, work)

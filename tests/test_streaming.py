@@ -97,3 +97,64 @@ def test_large_dimension_in_a_stream(spark, tmp_path, monkeypatch):
     out = joined.select("id", "line_key", F.lit(1).alias("_day"))
     streaming.write_available(out, str(tmp_path / "out"), str(tmp_path / "cp"), ["_day"])
     assert rows(read_table(spark, str(tmp_path / "out")), "id", "line_key") == sorted(((str(i), 7 if i % 2 else None) for i in range(20)), key=repr)
+
+
+def test_settled_rows_are_those_of_the_batch(spark, tmp_path):
+    copies = [arrival("1", "08:00", towards=t, _ingested_at=f"2024-06-15T0{h}:00:00Z") for t, h in (("b", 9), ("a", 9), ("c", 8), (None, 9))]
+    records = [*copies, arrival("2", "09:00", naptanId=None), arrival("3", "09:30"), arrival("3", "09:30"), arrival("open", "12:00")]
+
+    def run():
+        out = streaming.settled_stream(ARRIVALS, stream(spark, tmp_path), "1 hour", AT)
+        streaming.write_available(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+        return read_table(spark, str(tmp_path / "out"))
+
+    deliver(tmp_path, "a", *records)
+    batch = silver.arrivals(feed(spark, "arrivals", *({"_ingested_at": "2024-06-15T08:00:00Z", **r} for r in records)), AT)
+    made = run()
+    assert made.columns == batch.columns
+    assert rows(made) == rows(batch.where("id <> 'open'")) and made.where("id = '1'").first()["towards"] == "a"
+    deliver(tmp_path, "b", arrival("late", "08:00"), arrival("next", "15:00"))
+    assert rows(run(), "id") == [("1",), ("3",), ("open",)]
+    with pytest.raises(ValueError):
+        streaming.settled_stream(silver.TABLES["stoppoints"], stream(spark, tmp_path, "stoppoints"), "1 hour")
+
+
+def test_facts_of_batches_repeat_heavy_members_only(spark, tmp_path, monkeypatch):
+    from siltstone.operators import starjoin
+
+    monkeypatch.setattr(starjoin, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(starjoin, "HEAVY_SHARE", 2)
+    deliver(tmp_path, "a", *(arrival(str(i), "08:00", lineId="victoria" if i % 4 else f"ghost{i}") for i in range(20)))
+    dim = spark.createDataFrame([("victoria", 7), ("unused", 8)], "line_id string, line_key int")
+    counted = []
+    salted = starjoin.salted_left_join
+
+    def seen(fact, dim_, *args):
+        counted.append({r["_heavy"] for r in args[-1].collect()})
+        return salted(fact, dim_, *args)
+
+    monkeypatch.setattr(starjoin, "salted_left_join", seen)
+
+    def build(batch):
+        joined = starjoin.lookup_join(batch, starjoin.Lookup(dim, "lineId", "line_id", ("line_key",)), ["id"])
+        return joined.select("id", "timestamp", "line_key", "_ingested_at", F.lit(1).alias("_day"))
+
+    arrivals = silver.finish(ARRIVALS.clean(stream(spark, tmp_path)), ARRIVALS, AT)
+    for state in ("cp", "replayed"):
+        streaming.fact_stream(arrivals, build, str(tmp_path / "out"), str(tmp_path / state), ("id", "timestamp"), ("_ingested_at",), ["_day"])
+    want = sorted(((str(i), 7 if i % 4 else None) for i in range(20)), key=repr)
+    assert rows(read_table(spark, str(tmp_path / "out")), "id", "line_key") == want
+    assert counted == [{"victoria"}] * 2
+
+
+def test_a_stream_sets_bad_lines_aside(spark, tmp_path):
+    from siltstone.sources.commits import quarantined
+
+    path = str(tmp_path / "out")
+    deliver(tmp_path, "a", arrival("1", "08:00"), arrival("no line", "08:00", lineId=None))
+    (tmp_path / "in" / "b.json").write_text('{"id": "cut\n')
+    for _ in range(2):
+        marked = streaming.read_feed_stream(spark, str(tmp_path / "in"), feed_schema("arrivals"), marked=True)
+        streaming.routed_stream(ARRIVALS, path, marked, str(tmp_path / "cp"), AT)
+    assert rows(read_table(spark, path), "id") == [("1",)]
+    assert [r[0] for r in rows(quarantined(spark, path), "reason")] == ["incomplete", "unparsed"]

@@ -179,28 +179,38 @@ def stream_bronze_landing(spark, sf_dir):
     return df.groupBy(*raw.DAY_FOLDERS).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"))
 
 
-def streamed_silver(spark, sf_dir, delay="1 hour"):
-    stream = streaming.read_feed_stream(spark, landed(spark, sf_dir), feed_schema("arrivals"))
-    return streaming.silver_stream(silver.TABLES["arrivals"], stream, delay, AT)
+def settled_arrivals(spark, sf_dir, delay="1 hour"):
+    """Predictions as a stream, the survivor of each key; one of a later day closes all keys before it and stays open."""
+    bronze = landed(spark, sf_dir)
+    last = feeds.arrivals(spark, sf_dir).where("naptanId is not null and lineId is not null").orderBy(F.desc("timestamp"), "id").limit(1)
+    beat = last.withColumns({"id": F.lit("beat"), "timestamp": feeds.iso(feeds.seconds_later(F.col("timestamp"), F.lit(86400)))})
+    raw.land(beat, bronze, "_ingested_at")
+    stream = streaming.read_feed_stream(spark, bronze, feed_schema("arrivals"))
+    return streaming.settled_stream(silver.TABLES["arrivals"], stream, delay, AT)
 
 
-@query(f'select * exclude ("currentLocation", _ingested_at) from ({sql.ARRIVALS})')
+@query(sql.ARRIVALS)
 def stream_silver_events(spark, sf_dir):
-    """As the batch table, but either copy of a row may survive, so what tells them apart is left out."""
+    """As the batch table, row for row."""
     path = scratch_path(spark, "silver")
-    streaming.write_available(streamed_silver(spark, sf_dir), path, checkpoint(spark))
-    return read_table(spark, path).drop("currentLocation", "_ingested_at")
+    streaming.write_available(settled_arrivals(spark, sf_dir), path, checkpoint(spark))
+    return read_table(spark, path)
 
 
-@query(f'select * exclude (current_location, _ingested_at) from ({sql.FACT_ARRIVALS})')
+@query(sql.FACT_ARRIVALS)
 def stream_fact_events(spark, sf_dir):
+    """Facts of streamed predictions, joined batch by batch."""
     arrivals, lines, stops = (cleaned(spark, sf_dir, f) for f in ("arrivals", "line_status", "stoppoints"))
     line = materialise(dims.dim_line(lines, at=AT), "dim_line")
     station = materialise(dims.dim_station(stops, arrivals, at=AT), "dim_station")
     path = scratch_path(spark, "fact")
-    fact = facts.fact_arrivals(streamed_silver(spark, sf_dir), dims.dim_time(spark, AT), line, station, AT)
-    streaming.write_available(fact, path, checkpoint(spark))
-    return read_table(spark, path).drop("current_location", "_ingested_at")
+
+    def build(batch):
+        return facts.fact_arrivals(batch, dims.dim_time(spark, AT), line, station, AT)
+
+    keys = ("arrival_id", "prediction_timestamp")
+    streaming.fact_stream(settled_arrivals(spark, sf_dir), build, path, checkpoint(spark), keys, ("_ingested_at",))
+    return read_table(spark, path)
 
 
 @query(sql.ARRIVALS)
