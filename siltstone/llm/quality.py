@@ -6,8 +6,17 @@ quantile is off by about three percent at most.  Sketches merge by adding counts
 those of a language are the sum of its sources', those of all the sum of the
 languages'.  A group with too few rows uses the sketch above it.
 
-A document is an outlier if a measure lies beyond its group's fence, the upper
-or lower quartile plus or minus ``REACH`` times the distance between them.
+A document is an outlier if a measure lies beyond its group's fence, which comes
+from the sketch of the group's documents that pass the fixed rule:
+
+* lengths of words: the upper or lower quartile plus or minus ``REACH`` times the
+  distance between them;
+* measures that most documents have none of: the same with ``REACH_SOME``, from the
+  quartiles of the documents that have some;
+* of these, one that ordinary documents lack altogether (``rare``): where at most one
+  in ``RARE`` documents of the group has any, half the lower quartile of those that do.
+
+Only if all documents together have too few values is a fixed fence used.
 """
 
 from __future__ import annotations
@@ -26,31 +35,39 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 #: Distances between the quartiles that a fence lies beyond them.
-REACH = 4
-#: Groups with fewer rows borrow the sketch of their language, or of all.
+REACH = 5
+REACH_SOME = 3
+#: What one in so many documents has at most is rare in a group.
+RARE = 10
+#: Groups with fewer rows, or fewer values that count, borrow the sketch of their language, or of all.
 LEAST_ROWS = 200
+LEAST_VALUES = 20
 
 
 @dataclass(frozen=True)
 class Measure:
-    """A whole number for each document, and how far apart its quartiles count at least.
+    """A whole number for each document.
 
-    The least spread keeps a group whose middle half is equal from rejecting
-    everything else.
+    ``some``: only values above zero shape the fence.  ``fixed`` is the fence
+    where all documents have too few values; without one there is no fence then.
+    ``least_spread`` is the distance of equal quartiles.
     """
 
     name: str
     value: str
     least_spread: int
     upper: bool = True
+    some: bool = False
+    rare: bool = False
+    fixed: int | None = None
 
 
 MEASURES = (
-    Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 20),
-    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 100),
-    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 75),
-    Measure("long_words", "100 * word_chars div greatest(n_words, 1)", 200),
-    Measure("short_words", "100 * word_chars div greatest(n_words, 1)", 50, upper=False),
+    Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 10, some=True, rare=True, fixed=80),
+    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 10, some=True, fixed=400),
+    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 10, some=True, fixed=300),
+    Measure("long_words", "100 * word_chars div greatest(n_words, 1)", 5),
+    Measure("short_words", "100 * word_chars div greatest(n_words, 1)", 5, upper=False),
 )
 
 
@@ -120,39 +137,59 @@ def sketches(measured: DataFrame, groups: Sequence[str]) -> DataFrame:
     return measured.select(*groups, F.inline(values)).groupBy(*groups, "measure", "bucket").agg(F.count("*").alias("n"))
 
 
+def _by_measure(value) -> Column:
+    """The column that ``value`` gives for each measure."""
+    made = F.lit(None)
+    for m in MEASURES:
+        made = F.when(F.col("measure") == m.name, value(m)).otherwise(made)
+    return made
+
+
+def _fence(m: Measure, low: Column, high: Column) -> Column:
+    """The fence from a sketch's quartiles, and from how many of its rows have values."""
+    reach = (REACH_SOME if m.some else REACH) * F.greatest(high - low, F.lit(m.least_spread))
+    fence = (high + reach if m.upper else low - reach).cast("long")
+    if m.rare:
+        fence = F.when(RARE * F.col("values") <= F.col("rows"), F.expr("_low div 2")).otherwise(fence)
+    return fence
+
+
 def _fences(sketch: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """The fence of each group and measure, and how many rows the group has."""
+    """Each group's and measure's fence, null where the sketch has too few values; and its numbers of rows and values."""
     keys = [*groups, "measure"]
-    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-    so_far = Window.partitionBy(*keys).orderBy("bucket")
+    counted = F.when((F.col("bucket") > 0) | ~_by_measure(lambda m: F.lit(m.some)), F.col("n")).otherwise(F.lit(0))
+    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n")).withColumn("_w", counted)
+    of_group = Window.partitionBy(*keys)
     ranked = merged.select(
-        *keys, "bucket", F.sum("n").over(so_far).alias("_below"), F.sum("n").over(Window.partitionBy(*keys)).alias("_all")
+        *keys, "bucket", "_w", F.sum("_w").over(of_group.orderBy("bucket")).alias("_below"),
+        F.sum("_w").over(of_group).alias("_values"), F.sum("n").over(of_group).alias("_rows"),
     )
+    has = F.col("_w") > 0
     quarters = ranked.groupBy(*keys).agg(
-        F.max("_all").alias("rows"),
-        F.min(F.when(4 * F.col("_below") >= F.col("_all"), F.col("bucket"))).alias("_q1"),
-        F.min(F.when(4 * F.col("_below") >= 3 * F.col("_all"), F.col("bucket"))).alias("_q3"),
-    )
-    low, high = bucket_edge(F.col("_q1"), False), bucket_edge(F.col("_q3"), True)
-    fence = F.lit(None).cast("long")
-    for m in MEASURES:
-        reach = REACH * F.greatest(high - low, F.lit(m.least_spread))
-        fence = F.when(F.col("measure") == m.name, high + reach if m.upper else low - reach).otherwise(fence)
-    return quarters.select(*keys, "rows", fence.alias("fence"))
+        F.max("_rows").alias("rows"), F.max("_values").alias("values"),
+        F.min(F.when(has & (4 * F.col("_below") >= F.col("_values")), F.col("bucket"))).alias("_q1"),
+        F.min(F.when(has & (4 * F.col("_below") >= 3 * F.col("_values")), F.col("bucket"))).alias("_q3"),
+    ).withColumns({"_low": bucket_edge(F.col("_q1"), False), "_high": bucket_edge(F.col("_q3"), True)})
+    fence = _by_measure(lambda m: _fence(m, F.col("_low"), F.col("_high")))
+    return quarters.select(*keys, "rows", "values", F.when(F.col("values") >= LEAST_VALUES, fence).alias("fence"))
 
 
 def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row for each (lang, source) with the fence of every measure."""
-    own = materialise(sketches(measured, [lang, source]), "sketches")
-    by_source = _fences(own, [lang, source])
-    by_lang = _fences(own, [lang]).select(lang, "measure", F.col("rows").alias("_lang_rows"), F.col("fence").alias("_lang"))
+    """One row for each (lang, source) with the fence of every measure, and how many of these are the group's own."""
+    own = materialise(sketches(measured.where(~base_failed()), [lang, source]), "sketches")
+    enough = F.col("rows") >= LEAST_ROWS
+    by_source = _fences(own, [lang, source]).where(enough).select(lang, source, "measure", F.col("fence").alias("_own"))
+    by_lang = _fences(own, [lang]).where(enough).select(lang, "measure", F.col("fence").alias("_lang"))
     overall = _fences(own, []).select("measure", F.col("fence").alias("_all"))
-    best = F.when(F.col("rows") >= LEAST_ROWS, F.col("fence")).when(
-        F.col("_lang_rows") >= LEAST_ROWS, F.col("_lang")
-    ).otherwise(F.col("_all"))
-    chosen = by_source.join(by_lang, [lang, "measure"]).join(F.broadcast(overall), "measure")
-    return chosen.select(lang, source, "measure", best.alias("fence")).groupBy(lang, source).agg(
-        *(F.max(F.when(F.col("measure") == m.name, F.col("fence"))).alias(f"fence_{m.name}") for m in MEASURES)
+    groups = measured.select(lang, source).distinct().withColumn("measure", F.explode(F.lit([m.name for m in MEASURES])))
+    chosen = groups.join(by_source, [lang, source, "measure"], "left").join(by_lang, [lang, "measure"], "left").join(
+        F.broadcast(overall), "measure", "left"
+    )
+    fixed = _by_measure(lambda m: F.lit(m.fixed).cast("long"))
+    best = F.coalesce("_own", "_lang", "_all", fixed)
+    return chosen.select(lang, source, "measure", best.alias("fence"), F.col("_own").isNotNull().alias("_is_own")).groupBy(lang, source).agg(
+        *(F.max(F.when(F.col("measure") == m.name, F.col("fence"))).alias(f"fence_{m.name}") for m in MEASURES),
+        F.count_if("_is_own").alias("own_fences"),
     )
 
 
@@ -162,8 +199,8 @@ def judge(
     """Columns ``keep``, the counts, ``base_failed``, ``outlier`` and ``kept`` for every row of ``docs``.
 
     A missing language or source is a group of its own (with the empty name).
-    Documents that fail the fixed rule still count in the sketches.  Texts and
-    other columns do not travel: only counts are shuffled.
+    Documents that fail the fixed rule shape no fence.  Texts and other columns do
+    not travel: only counts are shuffled.
     """
     groups = [F.coalesce(docs[f"`{c}`"], F.lit("")).alias(a) for c, a in ((lang, "_lang_of"), (source, "_source_of"))]
     named = docs.select(*(docs[f"`{c}`"].alias(f"_p{i}") for i, c in enumerate(keep)), *groups, docs[f"`{text}`"].alias("_body"))
@@ -173,7 +210,7 @@ def judge(
     beyond = F.lit(False)
     for m in MEASURES:
         value, fence = F.expr(m.value), F.col(f"fence_{m.name}")
-        beyond = beyond | (value > fence if m.upper else value < fence)
+        beyond = beyond | F.coalesce(value > fence if m.upper else value < fence, F.lit(False))
     judged = measured.join(fences, ["_lang_of", "_source_of"]).withColumns({"base_failed": base_failed(), "outlier": beyond})
     return judged.select(
         *(F.col(i).alias(c) for i, c in zip(ids, keep)), "n_words", "word_chars", "n_symbols", "n_dup_lines",

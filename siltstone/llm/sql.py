@@ -88,29 +88,41 @@ def _sql_value(value: str) -> str:
     return value.replace(" div ", " // ")
 
 
+_SOME = "(" + ", ".join(f"'{m.name}'" for m in quality.MEASURES if m.some) + ")"
+
+
 def _level(name: str, groups: str) -> str:
     keys = f"{groups}measure"
     return f"""{name} as (
-  select {keys}, max(total) as n_rows,
-    min(bucket) filter (where 4 * below >= total) as q1, min(bucket) filter (where 4 * below >= 3 * total) as q3
+  select {keys}, max(total) as n_rows, max(valued) as n_values,
+    min(bucket) filter (where w > 0 and 4 * below >= valued) as q1, min(bucket) filter (where w > 0 and 4 * below >= 3 * valued) as q3
   from (
-    select {keys}, bucket, sum(n) over (partition by {keys} order by bucket) as below, sum(n) over (partition by {keys}) as total
-    from (select {keys}, bucket, sum(n) as n from sketch group by all)
+    select {keys}, bucket, w, sum(w) over (partition by {keys} order by bucket) as below,
+      sum(w) over (partition by {keys}) as valued, sum(n) over (partition by {keys}) as total
+    from (select {keys}, bucket, sum(n) as n, sum(case when bucket > 0 or measure not in {_SOME} then n else 0 end) as w from sketch group by all)
   ) group by all
 )"""
 
 
+def _fence(m: quality.Measure) -> str:
+    low, high = _edge("q1", False), _edge("q3", True)
+    reach = f"{quality.REACH_SOME if m.some else quality.REACH} * greatest({high} - {low}, {m.least_spread})"
+    fence = f"{high} + {reach}" if m.upper else f"{low} - {reach}"
+    return f"case when {quality.RARE} * n_values <= n_rows then ({low}) // 2 else {fence} end" if m.rare else fence
+
+
 _VALUES = ", ".join(f"{{'measure': '{m.name}', 'v': {_sql_value(m.value)}}}" for m in quality.MEASURES)
-_FENCE = "case measure " + " ".join(
-    f"when '{m.name}' then " + (
-        f"{_edge('q3', True)} + {quality.REACH} * greatest({_edge('q3', True)} - {_edge('q1', False)}, {m.least_spread})" if m.upper
-        else f"{_edge('q1', False)} - {quality.REACH} * greatest({_edge('q3', True)} - {_edge('q1', False)}, {m.least_spread})"
-    ) for m in quality.MEASURES
-) + " end"
+_FENCE = (
+    f"case when n_values >= {quality.LEAST_VALUES} then case measure "
+    + " ".join(f"when '{m.name}' then {_fence(m)}" for m in quality.MEASURES) + " end end"
+)
+_FIXED = "case measure " + " ".join(f"when '{m.name}' then {m.fixed}" for m in quality.MEASURES if m.fixed is not None) + " end"
 _OUTLIER = "case measure " + " ".join(
     f"when '{m.name}' then v {'>' if m.upper else '<'} fence" for m in quality.MEASURES
 ) + " end"
 
+_FAILED = f"n_words < {quality.LEAST_WORDS} or 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words"
+
 QUALITY = f"""
 with texts as (
   select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t,
@@ -136,17 +148,19 @@ with texts as (
   select doc_id, lang, source, u.measure, u.v, greatest(length(bin(u.v)) - 6, 0) as shift
   from (select doc_id, lang, source, unnest([{_VALUES}]) as u from counts)
 ), sketch as (
-  select lang, source, measure, (shift * 32 + (v >> shift::int)) as bucket, count(*) as n from valued group by all
+  select lang, source, measure, (shift * 32 + (v >> shift::int)) as bucket, count(*) as n from valued
+  join counts using (doc_id, lang, source) where not ({_FAILED}) group by all
 ), {_level("by_source", "lang, source, ")}, {_level("by_lang", "lang, ")}, {_level("overall", "")}, fences as (
-  select s.lang, s.source, measure, case when s.n_rows >= {quality.LEAST_ROWS} then s.fence
-    when l.n_rows >= {quality.LEAST_ROWS} then l.fence else o.fence end as fence
-  from (select *, {_FENCE} as fence from by_source) s
-  join (select *, {_FENCE} as fence from by_lang) l using (lang, measure)
-  join (select *, {_FENCE} as fence from overall) o using (measure)
+  select g.lang, g.source, g.measure, coalesce(s.fence, l.fence, o.fence, {_FIXED.replace("measure", "g.measure")}) as fence
+  from (select distinct lang, source, measure from valued) g
+  left join (select *, {_FENCE} as fence from by_source where n_rows >= {quality.LEAST_ROWS}) s
+    on s.lang = g.lang and s.source = g.source and s.measure = g.measure
+  left join (select *, {_FENCE} as fence from by_lang where n_rows >= {quality.LEAST_ROWS}) l on l.lang = g.lang and l.measure = g.measure
+  left join (select *, {_FENCE} as fence from overall) o on o.measure = g.measure
 ), beyond as (
-  select doc_id, bool_or({_OUTLIER}) as outlier from valued join fences using (lang, source, measure) group by doc_id
+  select doc_id, bool_or(coalesce({_OUTLIER}, false)) as outlier from valued join fences using (lang, source, measure) group by doc_id
 ), judged as (
-  select *, (n_words < {quality.LEAST_WORDS} or 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words) as base_failed
+  select *, ({_FAILED}) as base_failed
   from counts join beyond using (doc_id)
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, outlier,

@@ -66,6 +66,22 @@ def test_fences_follow_the_group(spark):
     assert outliers == {1000}
 
 
+def test_fences_come_from_the_sketches(spark):
+    """Of the groups with enough rows most have fences of their own, and they differ."""
+    measured = quality.base_measures(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), ["doc_id", "lang", "source"])
+    fences = quality.thresholds(measured.withColumn("source", F.lit("all"))).collect()
+    assert len(fences) == 4 and all(r["own_fences"] == len(quality.MEASURES) for r in fences)
+    for m in quality.MEASURES:
+        made = {r[f"fence_{m.name}"] for r in fences}
+        assert len(made) >= 3 and m.fixed not in made
+
+
+def test_all_that_passes_of_a_group_may_be_nothing(spark):
+    rows = [(i, "few words", "en", "short") for i in range(3)] + [(9, " ".join(f"w{k}" for k in range(40)), "en", "long")]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted((r["doc_id"], r["kept"]) for r in judged) == [(0, False), (1, False), (2, False), (9, True)]
+
+
 def test_quality_edges(spark):
     docs = plain.edge_docs(spark)
     rows = quality.judge(docs).collect()
