@@ -14,7 +14,8 @@ from the sketch of the group's documents that pass the fixed rule:
 * measures that most documents have none of: the same with ``REACH_SOME``, from the
   quartiles of the documents that have some;
 * of these, one that ordinary documents lack altogether (``rare``): where at most one
-  in ``RARE`` documents of the group has any, half the lower quartile of those that do.
+  in ``RARE`` documents of the group has any, half the lower quartile of those that do,
+  however few, but ``LEAST_RARE`` at least.
 
 Only if all documents together have too few values is a fixed fence used.
 """
@@ -39,6 +40,7 @@ REACH = 5
 REACH_SOME = 3
 #: What one in so many documents has at most is rare in a group.
 RARE = 10
+LEAST_RARE = 20
 #: Groups with fewer rows, or fewer values that count, borrow the sketch of their language, or of all.
 LEAST_ROWS = 200
 LEAST_VALUES = 20
@@ -66,8 +68,8 @@ MEASURES = (
     Measure("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 10, some=True, rare=True, fixed=80),
     Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 10, some=True, fixed=400),
     Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 10, some=True, fixed=300),
-    Measure("long_words", "100 * word_chars div greatest(n_words, 1)", 5),
-    Measure("short_words", "100 * word_chars div greatest(n_words, 1)", 5, upper=False),
+    Measure("long_words", "100 * word_chars div greatest(n_words, 1)", 20),
+    Measure("short_words", "100 * word_chars div greatest(n_words, 1)", 20, upper=False),
 )
 
 
@@ -146,12 +148,14 @@ def _by_measure(value) -> Column:
 
 
 def _fence(m: Measure, low: Column, high: Column) -> Column:
-    """The fence from a sketch's quartiles, and from how many of its rows have values."""
+    """The fence from a sketch's quartiles, null if too few of its rows have values."""
     reach = (REACH_SOME if m.some else REACH) * F.greatest(high - low, F.lit(m.least_spread))
     fence = (high + reach if m.upper else low - reach).cast("long")
+    enough = F.col("values") >= LEAST_VALUES
     if m.rare:
-        fence = F.when(RARE * F.col("values") <= F.col("rows"), F.expr("_low div 2")).otherwise(fence)
-    return fence
+        few = (F.col("values") > 0) & (RARE * F.col("values") <= F.col("rows"))
+        return F.when(few, F.greatest(F.expr("_low div 2"), F.lit(LEAST_RARE))).when(enough, fence)
+    return F.when(enough, fence)
 
 
 def _fences(sketch: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -171,7 +175,7 @@ def _fences(sketch: DataFrame, groups: Sequence[str]) -> DataFrame:
         F.min(F.when(has & (4 * F.col("_below") >= 3 * F.col("_values")), F.col("bucket"))).alias("_q3"),
     ).withColumns({"_low": bucket_edge(F.col("_q1"), False), "_high": bucket_edge(F.col("_q3"), True)})
     fence = _by_measure(lambda m: _fence(m, F.col("_low"), F.col("_high")))
-    return quarters.select(*keys, "rows", "values", F.when(F.col("values") >= LEAST_VALUES, fence).alias("fence"))
+    return quarters.select(*keys, "rows", "values", fence.alias("fence"))
 
 
 def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:

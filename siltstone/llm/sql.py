@@ -30,7 +30,8 @@ _NAMES = "['" + "','".join(secret_scan.KINDS) + "']"
 
 SECRETS = f"""
 with docs as (
-  select doc_id as id, coalesce(text, '') as body, coalesce(source, '') as owner from documents
+  select doc_id as id, coalesce(text, '') as body, coalesce(source, '') as owner,
+    coalesce(source, '') || '/' || coalesce(lang, '') as repository from documents
 ), base as ({_matches(0, _ASSIGN, 2, f"length(v) >= {secret_scan.ASSIGN_LEAST}")}
   union all {_matches(1, _ACCESS, 0, "true")}
   union all {_matches(2, _HEX, 0, "true")}
@@ -38,11 +39,11 @@ with docs as (
   select * from ({_matches(3, _MIXED, 0, _CLASSES)}) m
   where not exists (select 1 from base b where b.id = m.id and b.start < m.stop and m.start < b.stop)
 ), spans as (
-  select s.*, d.owner from (select * from base union all select * from clear) s join docs d using (id)
+  select s.*, d.owner, d.repository from (select * from base union all select * from clear) s join docs d using (id)
 ), spread as (
-  select value, count(distinct owner) as owners from spans group by value
+  select value, count(distinct owner) as owners, count(distinct repository) as repositories from spans group by value
 ), judged as (
-  select *, owners < {secret_scan.COPIED_OWNERS} as live from spans join spread using (value)
+  select *, not (owners >= {secret_scan.COPIED_OWNERS} or owners > 1 and repositories >= {secret_scan.COPIED_REPOSITORIES}) as live from spans join spread using (value)
 ), stays as (
   select *, {_NAMES}[kind + 1] || ':' || start || ':' || stop as name from judged where kind < {secret_scan.BASE} or live
 )
@@ -58,17 +59,27 @@ from docs d left join stays s on s.id = d.id group by d.id
 _SIZE = decontaminate.SHINGLE_WORDS
 
 
+def _words(key: str, table: str) -> str:
+    return f"select {key}, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') as w from {table}"
+
+
 def _shingles(key: str, table: str) -> str:
     return f"""
   select distinct {key}, array_to_string(w[i:i + {_SIZE - 1}], ' ') as shingle from (
-    select {key}, w, unnest(range(1, greatest(len(w) - {_SIZE - 2}, 2))) as i
-    from (select {key}, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') as w from {table}) where len(w) > 0
+    select {key}, w, unnest(range(1, greatest(len(w) - {_SIZE - 2}, 2))) as i from {table} where len(w) > 0
   )"""
 
 
 CONTAMINATED = f"""
-with d as ({_shingles("doc_id", "documents")}
-), b as ({_shingles("item_id", "benchmark")}
+with dw as ({_words("doc_id", "documents")}
+), bw as ({_words("item_id", "benchmark")}
+), short as (select distinct len(w) as n from bw where len(w) between 1 and {_SIZE - 1}
+), d as ({_shingles("doc_id", "dw")}
+  union
+  select doc_id, array_to_string(w[i:i + n - 1], ' ') from (
+    select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, short where len(w) >= n
+  )
+), b as ({_shingles("item_id", "bw")}
 ), sizes as (select item_id, count(*) as n_shingles from b group by item_id)
 select doc_id, item_id, any_value(n_shingles) as n_shingles, count(*) as n_shared, count(*) / any_value(n_shingles) as containment
 from d join b using (shingle) join sizes using (item_id)
@@ -108,14 +119,12 @@ def _fence(m: quality.Measure) -> str:
     low, high = _edge("q1", False), _edge("q3", True)
     reach = f"{quality.REACH_SOME if m.some else quality.REACH} * greatest({high} - {low}, {m.least_spread})"
     fence = f"{high} + {reach}" if m.upper else f"{low} - {reach}"
-    return f"case when {quality.RARE} * n_values <= n_rows then ({low}) // 2 else {fence} end" if m.rare else fence
+    rare = f"when n_values > 0 and {quality.RARE} * n_values <= n_rows then greatest(({low}) // 2, {quality.LEAST_RARE})" if m.rare else ""
+    return f"case {rare} when n_values >= {quality.LEAST_VALUES} then {fence} end"
 
 
 _VALUES = ", ".join(f"{{'measure': '{m.name}', 'v': {_sql_value(m.value)}}}" for m in quality.MEASURES)
-_FENCE = (
-    f"case when n_values >= {quality.LEAST_VALUES} then case measure "
-    + " ".join(f"when '{m.name}' then {_fence(m)}" for m in quality.MEASURES) + " end end"
-)
+_FENCE = "case measure " + " ".join(f"when '{m.name}' then {_fence(m)}" for m in quality.MEASURES) + " end"
 _FIXED = "case measure " + " ".join(f"when '{m.name}' then {m.fixed}" for m in quality.MEASURES if m.fixed is not None) + " end"
 _OUTLIER = "case measure " + " ".join(
     f"when '{m.name}' then v {'>' if m.upper else '<'} fence" for m in quality.MEASURES

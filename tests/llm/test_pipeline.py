@@ -31,21 +31,22 @@ def plain_run(sf_dir):
     con.execute(f"delete from documents where doc_id in (select doc_id from ({sql.CONTAMINATED}))")
     spans = dict(con.execute(f"select doc_id, spans from ({sql.SECRETS})").fetchall())
     owners = {}
-    texts = con.execute("select doc_id, text, source from documents").fetchall()
+    texts = con.execute("select doc_id, text, source, lang from documents").fetchall()
     parsed = {}
-    for i, text, source in texts:
+    for i, text, source, lang in texts:
         for kind, a, b in re.findall(r"(\w+):(\d+):(\d+)", spans[i]):
             value = text[int(a) : int(b)]
             if kind == "assign":
                 value = plain.ASSIGN.fullmatch(value)[1]
             parsed.setdefault(i, []).append((int(a), int(b), value))
-            owners.setdefault(value, set()).add(source)
+            owners.setdefault(value, set()).add((source, lang))
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     out = []
-    for i, text, _ in texts:
+    for i, text, _, _ in texts:
         at, made = 0, ""
         for a, b, value in sorted(parsed.get(i, [])):
-            if len(owners[value]) < 3:
+            many = len({s for s, _ in owners[value]})
+            if many < 2 or (many < 3 and len(owners[value]) < 5):
                 made += f"{text[at:a]}[SECRET]" if a >= at else ""
                 at = max(at, b)
         ids = tokenizer.encode(made + text[at:], add_special_tokens=False).ids
