@@ -18,7 +18,7 @@ from siltstone.schemas import feed_schema
 from siltstone.session import materialise, scratch_scope
 from siltstone.sources.commits import BAD, LOG, begin, landed_files, not_taken_in, taken_in
 from siltstone.sources.feeds import DAY_FOLDERS, read_feed
-from siltstone.sources.files import folder_values
+from siltstone.sources.files import exists, folder_values
 from siltstone.sources.sinks import observed, write_dimension, write_partitioned
 from siltstone.sources.tables import read_table, read_table_if_any
 
@@ -76,6 +76,8 @@ def take_in(spark: SparkSession, feed: str, bronze: str, path: str, at: str | No
     and of older readings of their keys.  Rows, log and lines set aside are one
     commit, so a run that stopped is simply run again.
     """
+    if not exists(spark, bronze):
+        return set()
     table = silver.TABLES[feed]
     begin(spark, path)
     with scratch_scope(spark):

@@ -304,8 +304,8 @@ def backfill_range(spark, sf_dir):
     return read_table(spark, path)
 
 
-def deliveries(spark, sf_dir, bronze):
-    """Land every feed in two deliveries; after each the tables can be brought up to date.
+def deliveries(spark, sf_dir, bronze, *wanted):
+    """Land feeds in two deliveries; after each the tables can be brought up to date.
 
     Second readings, corrections and half of the lines and stops come with the second.
     """
@@ -313,7 +313,7 @@ def deliveries(spark, sf_dir, bronze):
         "arrivals": F.col("currentLocation").contains("30") | (F.crc32(F.col("id").cast("binary")) % 2 == 0),
         "line_status": F.crc32(F.col("id").cast("binary")) % 2 == 0,
     }
-    shaped = {feed: materialise(shape(spark, sf_dir), feed) for feed, shape in feeds.FEEDS.items()}
+    shaped = {feed: materialise(feeds.FEEDS[feed](spark, sf_dir), feed) for feed in wanted}
     for delivery in (0, 1):
         for feed, df in shaped.items():
             second = later.get(feed, F.xxhash64(*df.columns[:2]) % 2 == 0)
@@ -330,7 +330,7 @@ from ({sql.FACT_ARRIVALS})"""
 def refresh_incremental(spark, sf_dir):
     """The fact after two runs that each took in only what was new; keys are numbered in order of arrival."""
     bronze, out = scratch_path(spark, "bronze"), scratch_path(spark, "star")
-    for _ in deliveries(spark, sf_dir, bronze):
+    for _ in deliveries(spark, sf_dir, bronze, "arrivals", "line_status", "stoppoints"):
         refresh.refresh_new(spark, bronze, f"{out}/silver", f"{out}/gold", at=AT)
     fact = read_table(spark, refresh.table_paths(f"{out}/silver", f"{out}/gold")["fact_arrivals"])
     keys = {f"has_{x}": F.col(f"{x}_key").isNotNull() for x in ("line", "station")}
