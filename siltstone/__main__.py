@@ -32,6 +32,9 @@ def parser() -> argparse.ArgumentParser:
     job("refresh", "rebuild every table", "bronze", "silver", "gold").add_argument(
         "--holidays", help="Parquet table with a column named date"
     )
+    job("update", "bring every table up to what has landed since the last run", "bronze", "silver", "gold").add_argument(
+        "--holidays", help="Parquet table with a column named date"
+    )
     job("silver", "rebuild one cleaned table", "bronze", "silver").add_argument("feed", choices=feeds)
 
     gold = job("gold", "rebuild one dimension or fact", "silver", "gold")
@@ -62,6 +65,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "refresh":
         for name, path in r.refresh(spark, args.bronze, args.silver, args.gold, holidays, args.at).items():
             print(f"{name}: {path}")
+    elif args.job == "update":
+        for name, folders in r.refresh_new(spark, args.bronze, args.silver, args.gold, holidays, args.at).items():
+            print(f"{name}: {len(folders)} folders changed")
     elif args.job == "silver":
         seen = r.refresh_silver(spark, args.feed, f"{args.bronze}/{args.feed}", f"{args.silver}/{args.feed}", args.at)
         print(f"{args.feed}: {seen.get['rows']} rows")
