@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.timekeys import in_days
 from siltstone.sources.commits import ready
+from siltstone.sources.files import exists
 
 
 # A table whose schema has grown keeps it beside its folders; readers skip names that begin so.
@@ -20,12 +21,9 @@ SCHEMA_FOLDER = "_schema"
 
 def declared_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema a table has grown to, or None while all its files have the same."""
-    try:
-        row = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, f"{path}/{SCHEMA_FOLDER}"):
+        return None
+    row = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
     return None if row is None else T.StructType.fromJson(json.loads(row[0]))
 
 
