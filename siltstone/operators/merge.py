@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.folders import folders_of, in_folders
@@ -255,6 +255,52 @@ def scd2_from_history(
     ).drop(SLICE, POSITION)
 
 
+READ_AT = "read_at"
+
+
+def scd2_splice(
+    dimension: DataFrame | None, snapshots: DataFrame, keys: Sequence[str], tracked: Sequence[str], time: str
+) -> DataFrame:
+    """Take snapshots of any age into a type-2 dimension, whatever order they arrive in.
+
+    Each row keeps in ``read_at`` the times at which its version was read; a late
+    reading between two of them splits the version, and one at a version's own
+    time moves its start.  So the dimension is the one that all readings, sorted,
+    would give.  ``snapshots`` hold keys, tracked attributes and ``time``; of
+    readings of a key at one time those with the greatest attributes count.  Only
+    keys that ``snapshots`` name are rebuilt.  Members a snapshot lacks stay as
+    they are, null keys are a member of their own, readings without time are ignored.
+
+    A key has at most one reading for each snapshot, so none outgrows a task.
+    """
+    readings = snapshots.where(F.col(time).isNotNull()).select(*keys, *tracked, F.col(time).alias("_t"))
+    if dimension is None:
+        return _versions(readings, keys, tracked)
+    named = readings.select(*(F.col(k).alias(f"_n{i}") for i, k in enumerate(keys))).distinct()
+    on = [F.col(k).eqNullSafe(F.col(f"_n{i}")) for i, k in enumerate(keys)]
+    earlier = dimension.join(named, on, "left_semi").select(*keys, *tracked, F.explode(READ_AT).alias("_t"))
+    untouched = dimension.join(named, on, "left_anti")
+    rebuilt = _versions(earlier.unionByName(readings), keys, tracked)
+    return untouched.select(*rebuilt.columns).unionByName(rebuilt)
+
+
+def _versions(readings: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """Versions of readings (keys, tracked, ``_t``), with the times each was read at."""
+    single = dedup_latest(readings, [*keys, "_t"], tracked)
+    by_time = Window.partitionBy(*keys).orderBy("_t")
+    attributes = F.struct(*tracked)
+    single = single.withColumns({"_before": F.lag(attributes).over(by_time), "_first": F.row_number().over(by_time) == 1})
+    opens = F.col("_first") | ~F.col("_before").eqNullSafe(attributes)
+    numbered = single.withColumn("_version", F.sum(F.when(opens, 1).otherwise(0)).over(by_time))
+    # Within a version the tracked attributes are one value, nulls included.
+    versions = numbered.groupBy(*keys, "_version", *tracked).agg(F.sort_array(F.collect_list("_t")).alias(READ_AT))
+    begin = F.col(READ_AT)[0]
+    end = F.lead(begin).over(Window.partitionBy(*keys).orderBy("_version"))
+    return versions.withColumns({"valid_from": begin, "valid_to": end}).select(
+        *keys, *tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), READ_AT
+    )
+
+
 # The types a column may be widened to.
 _WIDER = {T.IntegerType(): (T.LongType(), T.DoubleType()), T.LongType(): (T.DoubleType(),)}
 

@@ -88,6 +88,46 @@ def test_scd2_from_history(spark, data):
     assert all(sum(1 for r in got if r[0] == k and r[4]) == 1 for k in {d[0] for d in data})
 
 
+def reading(keys, times, values):
+    return st.lists(st.tuples(st.sampled_from(keys), st.integers(0, times), st.sampled_from(values)), min_size=1, max_size=30)
+
+
+@few
+@given(readings=reading([1, 1, 2, None], 9, ["a", "b", None]), cuts=st.tuples(st.integers(0, 30), st.integers(0, 30)))
+def test_late_snapshots_give_the_dimension_of_sorted_ones(spark, readings, cuts):
+    """Readings in any order, in three batches, some of them twice."""
+    first, second = sorted(cuts)
+    schema, dim = "k int, t int, a string", None
+    for batch in (readings[:first], readings[first:second], readings[second:] + readings[:3]):
+        dim = merge.scd2_splice(dim, spark.createDataFrame(batch, schema), ["k"], ["a"], "t")
+        dim = spark.createDataFrame(dim.collect(), dim.schema)
+    best = {}
+    for k, t, a in readings:
+        best[k, t] = max(best.get((k, t), a) or "", a or "") or None
+    expected = []
+    for k in {k for k, _, _ in readings}:
+        versions = []
+        for t in sorted(t for q, t in best if q == k):
+            if versions and versions[-1][1] == best[k, t]:
+                versions[-1][5].append(t)
+                continue
+            if versions:
+                versions[-1][3:5] = [t, False]
+            versions.append([k, best[k, t], t, None, True, [t]])
+        expected += map(tuple, versions)
+    assert sorted(map(tuple, dim.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_late_snapshot_leaves_other_members(spark):
+    schema = "t int, k int, a string"
+    dim = merge.scd2_splice(None, spark.createDataFrame([(5, 1, "x"), (5, 2, "y"), (9, 1, "x"), (None, 1, "q")], schema), ["k"], ["a"], "t")
+    late = merge.scd2_splice(dim, spark.createDataFrame([(7, 1, "z")], schema), ["k"], ["a"], "t")
+    assert sorted(map(tuple, late.collect())) == [
+        (1, "x", 5, 7, False, [5]), (1, "x", 9, None, True, [9]), (1, "z", 7, 9, False, [7]), (2, "y", 5, None, True, [5]),
+    ]
+    assert merge.scd2_splice(late, spark.createDataFrame([], schema), ["k"], ["a"], "t").count() == 4
+
+
 def test_schema_evolution(spark):
     old = spark.createDataFrame([(1, 2, "x")], "a int, b bigint, c string")
     new = spark.createDataFrame([(3, 0.5, True)], "a bigint, b double, d boolean")

@@ -140,6 +140,27 @@ def scd2_from_history(spark, sf_dir):
     return merge.scd2_from_history(history, ["user_id"], ["event_type"], "ts")
 
 
+@query("""
+with r as (
+  select c_custkey, case when month(t) = 2 and c_mktsegment = 'BUILDING' then 'REBUILT' else c_mktsegment end as segment, t
+  from customer, (select unnest([timestamp '2024-01-01', timestamp '2024-02-01', timestamp '2024-03-01']) as t)
+  where c_mktsegment <> 'HOUSEHOLD' or month(t) = 2),
+v as (select *, lag(segment) over (partition by c_custkey order by t) as before from r)
+select c_custkey, segment, t as valid_from, lead(t) over (partition by c_custkey order by t) as valid_to,
+  lead(t) over (partition by c_custkey order by t) is null as is_current
+from v where before is null or before <> segment""")
+def scd2_out_of_order(spark, sf_dir):
+    """Snapshots of March, January and February arrive in that order; buildings differ in February, households are in no other."""
+    customer = feeds.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    segment, home = F.col("segment"), F.col("segment") == "HOUSEHOLD"
+    february = customer.withColumn("segment", F.when(segment == "BUILDING", "REBUILT").otherwise(segment))
+    dimension = None
+    for month, members in ((3, customer.where(~home)), (1, customer.where(~home)), (2, february)):
+        snapshot = members.withColumn("taken", F.lit(f"2024-0{month}-01").cast("timestamp"))
+        dimension = materialise(merge.scd2_splice(dimension, snapshot, ["c_custkey"], ["segment"], "taken"), "spliced")
+    return dimension.drop(merge.READ_AT)
+
+
 @query("""
 select o_orderkey, cast(o_custkey as bigint) as customer, o_totalprice as price, cast(null as varchar) as priority from orders
 union all select o_orderkey, o_custkey, floor(o_totalprice), o_orderpriority from orders where o_orderstatus = 'P'""")
