@@ -7,8 +7,8 @@ that find their shard full continue clockwise to the next virtual node whose
 shard has room.
 
 Which rows overflow is settled on the counts of the cells alone, whose number is
-fixed.  Rows then find their shard by their rank within their cell, counted by
-reading task first.
+fixed.  Rows then find their shard by their rank within their cell, in the order of
+their keys' hashes, so it does not depend on how the table is read.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Mapping
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from siltstone.operators.slices import POSITION, SLICE, slice_offsets, sorted_slices
 from siltstone.session import materialise
 
 SHARDS = 40
@@ -82,23 +84,20 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     if shards < 1:
         raise ValueError("there must be a shard")
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
-    # Written once with the task that read each row: a rank within (cell, task) never gathers
-    # more than a task has read, however often a key repeats.
     rows = materialise(docs.select(
         docs[f"`{key}`"].alias("_key"), (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), cell(docs[f"`{key}`"]).alias("_cell"),
-        F.spark_partition_id().alias("_task"),
+        F.xxhash64(docs[f"`{key}`"]).alias("_hash"),
     ), "ring")
-    by_task = rows.groupBy("_cell", "_task").agg(F.count("*").alias("_n"))
-    counted = rows.groupBy("_cell").agg(F.count("*").alias("n")).collect()
-    pieces = settle({r["_cell"]: r["n"] for r in counted}, shards)
+    counted = {r["_cell"]: r["n"] for r in rows.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
+    begins = dict(zip(sorted(counted), accumulate((counted[c] for c in sorted(counted)), initial=0)))
+    pieces = [(c, begins[c] + a, begins[c] + b, shard, slot) for c, a, b, shard, slot in settle(counted, shards)]
     table = docs.sparkSession.createDataFrame(pieces, "_cell int, _from long, _to long, shard int, _slot long")
 
-    earlier = Window.partitionBy("_cell").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_task.select("_cell", "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    order = Window.partitionBy("_cell", "_task").orderBy(F.xxhash64("_key"), "_key", "text_crc32", "size")
-    ranked = rows.withColumn("_own", F.row_number().over(order) - 1).join(offsets, ["_cell", "_task"])
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_own"))
+    # The last column tells repeated rows apart, so that a key of any frequency spreads over slices.
+    order = ["_cell", "_hash", "_key", "text_crc32", "size", "_row"]
+    sliced = sorted_slices(rows.withColumn("_row", F.monotonically_increasing_id()), order)
+    ranked = sliced.join(F.broadcast(slice_offsets(sliced)), SLICE).withColumn("_rank", F.col("_offset") + F.col(POSITION))
     # At most one piece for each cell and overflow step: a size fixed by the ring, not by the rows.
     placed = ranked.join(F.broadcast(table), "_cell").where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     slot = (F.col("_slot") + F.col("_rank") - F.col("_from")).cast("long")

@@ -50,14 +50,14 @@ LEAST_EVIDENCE = 8.0
 
 PREDICTED_FROM = 0.7
 
-#: Units are cut into overlapping pieces of this many letters.
-PIECE, OVERLAP = 48, 8
+#: Units are cut into overlapping pieces of this many letters, in fitting as in scoring.
+PIECE, OVERLAP, CUT = 48, 8, "-"
 #: Tokens that a task remembers before it starts afresh; bounds memory, not results.
 CACHE_TOKENS = 400_000
 
 _BEGIN, _END = 62, 63
 _SENTENCE_END = re.compile(rb"(?<=[.!?])\s+|\n")
-_SPACED = re.compile(r"(?<!\S)(?:\w\W*\s+){3,}\w\W*(?!\S)")
+_SPACED = re.compile(r"(?<!\S)(?:\w\W*\s){2,}\w\W*(?!\S)")
 
 
 @lru_cache(maxsize=1)
@@ -70,12 +70,9 @@ def _classes() -> np.ndarray:
 
 
 def tokens(text: bytes | None) -> set[str]:
-    """The distinct tokens of a whole text, runs of single letters being one more token each."""
+    """The distinct tokens of a whole text, runs of three or more single letters being one more token each."""
     decoded = (text or b"").decode()
-    found = set(decoded.split())
-    if sum(len(t) < 3 for t in found) > 3:
-        found.update("".join(m.group().split()) for m in _SPACED.finditer(decoded))
-    return found
+    return {*decoded.split(), *("".join(m.group().split()) for m in _SPACED.finditer(decoded))}
 
 
 def unit(token: str) -> str:
@@ -83,20 +80,23 @@ def unit(token: str) -> str:
     return "".join(filter(str.isalnum, token.lower()))
 
 
-def _coded(units: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of units as rows of classes between end marks, and the unit each belongs to; -1 fills rows."""
-    pieces, owner = [], []
-    for n, word in enumerate(units):
-        for at in range(0, max(len(word) - OVERLAP, 1), PIECE - OVERLAP):
-            pieces.append((word[at : at + PIECE], at == 0, at + PIECE >= len(word)))
-            owner.append(n)
-    rows = np.full((len(pieces), max([len(p) for p, _, _ in pieces], default=0) + 2), -1, np.int32)
+def pieces(word: str) -> list[str]:
+    """Overlapping pieces of a unit; ``CUT`` stands where a piece does not begin or end with its unit."""
+    return [
+        CUT * (at > 0) + word[at : at + PIECE] + CUT * (at + PIECE < len(word))
+        for at in range(0, max(len(word) - OVERLAP, 1), PIECE - OVERLAP)
+    ]
+
+
+def _coded(parts: Sequence[str]) -> np.ndarray:
+    """Pieces as rows of classes between end marks, -1 filling the rows."""
+    rows = np.full((len(parts), max(map(len, parts), default=0) + 2), -1, np.int32)
     table = _classes()
-    for row, (piece, begins, ends) in zip(rows, pieces):
-        codes = table[np.frombuffer(piece.encode("utf-32-le"), np.uint32)]
-        codes = np.concatenate([[_BEGIN] * begins, codes, [_END] * ends])
+    for row, part in zip(rows, parts):
+        codes = table[np.frombuffer(part.strip(CUT).encode("utf-32-le"), np.uint32)]
+        codes = np.concatenate([[_BEGIN] * (part[:1] != CUT), codes, [_END] * (part[-1:] != CUT)])
         row[: len(codes)] = codes
-    return rows, np.array(owner, np.int64)
+    return rows
 
 
 _OFFSETS = np.array([(0, *rest) for rest in combinations(range(1, REACH), ORDER - 1)])
@@ -123,24 +123,23 @@ def _norms(weight: np.ndarray) -> np.ndarray:
 def margins(units: Sequence[str], table: np.ndarray, bias: float) -> np.ndarray:
     """The machine's margin of each unit: the greatest of its pieces'."""
     out = np.full(len(units), -np.inf)
-    # Units of about one length share an array, so that one long unit does not widen all.
-    order = sorted(range(len(units)), key=lambda i: len(units[i]))
-    for at in range(0, len(order), 2048):
-        part = order[at : at + 2048]
-        rows, owner = _coded([units[i] for i in part])
-        code, weight = subsequences(rows)
+    # Pieces of about one length share an array, so that a long one does not widen all.
+    parts = sorted(((p, n) for n, word in enumerate(units) for p in pieces(word)), key=lambda x: len(x[0]))
+    for at in range(0, len(parts), 2048):
+        part, owner = zip(*parts[at : at + 2048])
+        code, weight = subsequences(_coded(part))
         found = (table[code] * weight).sum(1, dtype=np.float64) / _norms(weight) + bias
-        np.maximum.at(out, np.array(part)[owner], found)
+        np.maximum.at(out, np.array(owner), found)
     return out
 
 
 def kernel(units: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
-    """Kernel values (unit, landmark); units are cut at one piece each."""
-    marks, mark_weight = subsequences(_coded([m[:PIECE] for m in landmarks])[0])
+    """Kernel values (piece, landmark)."""
+    marks, mark_weight = subsequences(_coded(landmarks))
     mark_weight = mark_weight / _norms(mark_weight)[:, None]
     out = np.zeros((len(units), len(landmarks)))
     dense = np.zeros(1 << 6 * ORDER, np.float32)
-    code, weight = subsequences(_coded([u[:PIECE] for u in units])[0])
+    code, weight = subsequences(_coded(units))
     weight = weight / _norms(weight)[:, None]
     for m in range(len(landmarks)):
         np.add.at(dense, marks[m], mark_weight[m])
@@ -163,7 +162,7 @@ class Machine:
         """The weight of each subsequence: all the machine knows, folded together."""
         out = np.zeros(1 << 6 * ORDER, np.float32)
         if self.landmarks:
-            code, weight = subsequences(_coded(self.landmarks)[0])
+            code, weight = subsequences(_coded(self.landmarks))
             share = weight / _norms(weight)[:, None] * np.array(self.weights)[:, None]
             np.add.at(out, code.ravel(), share.ravel().astype(np.float32))
         return out
@@ -171,19 +170,19 @@ class Machine:
 
 def landmarks(units: Sequence[str], most: int) -> list[str]:
     """Units that span the others best: each next one is what those before explain least (pivoted Cholesky)."""
-    pieces = list(dict.fromkeys(w[:PIECE] for w in units))
-    gram = kernel(pieces, pieces)
+    units = list(dict.fromkeys(units))
+    gram = kernel(units, units)
     left = np.diag(gram).copy()
-    columns = np.zeros((len(pieces), 0))
+    columns = np.zeros((len(units), 0))
     chosen: list[int] = []
-    while len(chosen) < min(most, len(pieces)) and left.max() > 1e-6:
+    while len(chosen) < min(most, len(units)) and left.max() > 1e-6:
         i = int(left.argmax())
         column = (gram[:, i] - columns @ columns[i]) / np.sqrt(left[i])
         columns = np.hstack([columns, column[:, None]])
         left = np.maximum(left - column**2, 0)
         left[i] = 0
         chosen.append(i)
-    return [pieces[i] for i in chosen]
+    return [units[i] for i in chosen]
 
 
 def fit_machine(insults: Sequence[str], clean: Sequence[str], insult_weight: np.ndarray, penalty: float = 1e-3) -> Machine:
@@ -226,7 +225,7 @@ def fit_curve(x: np.ndarray, label: np.ndarray, penalty: float = 1e-4) -> tuple[
 
 
 def _sentence_units(labelled: DataFrame) -> DataFrame:
-    """(toxic, sentence, unit): the units of each sentence of labelled texts, the sentence as a hash."""
+    """(toxic, sentence, unit): the pieces of each sentence's units in labelled texts, the sentence as a hash."""
     importable(labelled.sparkSession)
     schema = T.StructType([
         T.StructField("toxic", T.IntegerType()), T.StructField("sentence", T.LongType()), T.StructField("unit", T.StringType()),
@@ -239,7 +238,7 @@ def _sentence_units(labelled: DataFrame) -> DataFrame:
                 marks, hashes, units = [], [], []
                 for mark, text in zip(piece.column(0).to_pylist(), texts(piece.column(1))):
                     for sentence in _SENTENCE_END.split(text or b""):
-                        found = {unit(t) for t in tokens(sentence)} - {""}
+                        found = {p for t in tokens(sentence) for p in pieces(unit(t))} - {""}
                         marks += [mark] * len(found)
                         hashes += [xxhash.xxh64_intdigest(sentence.lower()) - (1 << 63)] * len(found)
                         units += found

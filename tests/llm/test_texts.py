@@ -147,8 +147,8 @@ def test_toxicity_held_out(spark):
     rows = toxicity.score(docs, machine).join(labels, "doc_id").where(held_out).collect()
     insults = [r for r in rows if r["toxic"]]
     clean = [r for r in rows if not r["toxic"]]
-    assert sum(r["predicted"] for r in insults) >= 0.5 * len(insults)
-    assert sum(r["predicted"] for r in clean) <= 0.05 * len(clean)
+    assert sum(r["predicted"] for r in insults) >= 0.8 * len(insults)  # learnt from 33 toxic texts
+    assert sum(r["predicted"] for r in clean) <= 0.01 * len(clean)
     calm = "the and of to in"
     told = "the and idiot of to moron in stupid trash"
     spaced, gapped = "the and i d i o t of m o r o n to s t u p i d in t.r.a.s.h", "the and idixot of mor0on to stu-pid in traash"
@@ -158,6 +158,29 @@ def test_toxicity_held_out(spark):
     assert all(0 <= s <= 1 for s in score.values())
 
 
+def test_spaced_letters_are_joined_in_any_text():
+    assert "fool" in toxicity.tokens(b"You f o o l")
+    assert "moron" in toxicity.tokens(b"You m o r o n")
+    assert {"h-a-g", "hag,"} <= toxicity.tokens(b"one h - a - g\nof h a g, there")
+    assert toxicity.tokens(b"I am a man") == {"I", "am", "a", "man"}
+
+
+def test_long_units_are_cut_without_loss():
+    for n in (1, 47, 48, 49, 88, 89, 500):
+        word = "".join(chr(97 + i * i % 26) for i in range(n))
+        parts = toxicity.pieces(word)
+        assert all(len(p.strip(toxicity.CUT)) <= toxicity.PIECE for p in parts)
+        held = {p.strip(toxicity.CUT)[i : i + toxicity.REACH] for p in parts for i in range(len(p))}
+        assert all(word[i : i + toxicity.REACH] in held for i in range(n))
+        assert [p[0] != toxicity.CUT for p in parts] == [True] + [False] * (len(parts) - 1)
+        assert [p[-1] != toxicity.CUT for p in parts] == [False] * (len(parts) - 1) + [True]
+    # What lies beyond the first piece is learnt from and found.
+    tail = "q" * 60 + "moron"
+    machine = toxicity.fit_machine(["moron", "morons"], ["apple", "garden", "letter", *toxicity.pieces("q" * 60)], np.ones(2))
+    found = toxicity.margins([tail, "q" * 65], machine.table(), machine.bias)
+    assert found[0] > found[1]
+
+
 def test_kernel_against_the_definition():
     from itertools import combinations
 
