@@ -12,6 +12,10 @@ from siltstone.functions.cleaning import as_timestamp
 from siltstone.operators.records import union_batches
 
 
+#: Address bits of the key sketches: 1.04 / sqrt(2 ** bits) is their standard error.
+HLL_BITS = 12
+
+
 @dataclass(frozen=True)
 class Expectations:
     """What a table should satisfy; ``schema`` is compared by column name and type."""
@@ -36,12 +40,16 @@ def _result(check: str, column: str, failed: Column, total: Column) -> Column:
     )
 
 
-def _column_checks(df: DataFrame, expect: Expectations, *extra: Column) -> tuple[DataFrame, list[Column]]:
-    """One aggregate over the table, and the result structs to be read from its row."""
-    failures = {
+def _failures(expect: Expectations) -> dict[tuple[str, str], Column]:
+    return {
         **{("not_null", c): F.col(c).isNull() for c in expect.required},
         **{("timestamp", c): F.col(c).isNotNull() & as_timestamp(c).isNull() for c in expect.timestamps},
     }
+
+
+def _column_checks(df: DataFrame, expect: Expectations, *extra: Column) -> tuple[DataFrame, list[Column]]:
+    """One aggregate over the table, and the result structs to be read from its row."""
+    failures = _failures(expect)
     counted = [F.count_if(bad).alias(f"_{i}") for i, bad in enumerate(failures.values())]
     totals = df.agg(F.count(F.lit(1)).alias("_total"), *counted, *extra)
     results = [_result(*name, F.col(f"_{i}"), F.col("_total")) for i, name in enumerate(failures)]
@@ -93,3 +101,66 @@ def health_report(tables: Mapping[str, tuple[DataFrame, str | None, Expectations
             (passed / len(verdicts)).alias("pass_rate"),
         ))
     return union_batches(parts)
+
+
+def profile(df: DataFrame, expect: Expectations, folders: Sequence[str], ingested: str | None = None) -> DataFrame:
+    """Per folder what the checks add up, for ``states.keep_states``.
+
+    Rows, failures by column, the newest ingest time, repeats of a key within the
+    folder, and a sketch of its keys (HyperLogLog, 1.6 % standard error).
+    """
+    measures = [
+        F.count(F.lit(1)).alias("rows"), *(F.count_if(bad).alias(":".join(name)) for name, bad in _failures(expect).items()),
+        (F.max(ingested).cast("timestamp") if ingested else F.lit(None).cast("timestamp")).alias("newest"),
+    ]
+    if not expect.unique:
+        return df.groupBy(*folders).agg(*measures)
+    hashed = F.xxhash64(*expect.unique)
+    profiles = df.groupBy(*folders).agg(*measures, F.hll_sketch_agg(hashed, F.lit(HLL_BITS)).alias("keys"))
+    # Counted by key and then added up, so that no task holds a folder's keys.
+    per_key = df.groupBy(*folders, *expect.unique).agg((F.count(F.lit(1)) - 1).alias("_n"))
+    repeats = per_key.groupBy(*folders).agg(F.sum("_n").alias("repeats"))
+    other = repeats.select("repeats", *(F.col(c).alias(f"_r{i}") for i, c in enumerate(folders)))
+    on = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(folders)]
+    return profiles.join(other, on).drop(*(f"_r{i}" for i in range(len(folders))))
+
+
+def _counts(expect: Expectations) -> list[tuple[str, str, str]]:
+    """(check, column, name in a profile) of all that profiles count."""
+    counts = [(check, column, f"{check}:{column}") for check, column in _failures(expect)]
+    return counts + ([("unique", ",".join(expect.unique), "repeats")] if expect.unique else [])
+
+
+def merged_profile(profiles: DataFrame, expect: Expectations) -> DataFrame:
+    """One row: the profile of all folders together.
+
+    All but ``distinct_keys`` is exact; ``repeats`` are those within folders, which
+    are all there are when a key fixes its folder.
+    """
+    added = ["rows", *(name for _, _, name in _counts(expect))]
+    merged = [F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in added]
+    if expect.unique:
+        merged.append(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("keys")), F.lit(0)).alias("distinct_keys"))
+    return profiles.agg(*merged, F.max("newest").alias("newest"))
+
+
+def quality_of_profiles(profiles: DataFrame, expect: Expectations) -> DataFrame:
+    """``quality_report`` from the profiles of folders that keys fix; the table is not read."""
+    results = [_result(check, column, F.col(f"`{name}`"), F.col("rows")) for check, column, name in _counts(expect)]
+    if not results:
+        raise ValueError("nothing to check")
+    return merged_profile(profiles, expect).select(F.explode(F.array(*results)).alias("_r")).select("_r.*")
+
+
+def health_of_profiles(tables: Mapping[str, tuple[DataFrame, Expectations]]) -> DataFrame:
+    """``health_report`` from the profiles of each table's folders."""
+    parts = []
+    for name, (profiles, expect) in tables.items():
+        failed = [f"`{count}`" for _, _, count in _counts(expect)]
+        if not failed:
+            raise ValueError(f"nothing to check in {name}")
+        passed = reduce(lambda a, b: a + b, [(F.col(c) == 0).cast("int") for c in failed])
+        parts.append(merged_profile(profiles, expect).select(
+            F.lit(name).alias("table"), "rows", "newest", (passed / len(failed)).alias("pass_rate")
+        ))
+    return union_batches(parts)

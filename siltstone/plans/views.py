@@ -1,7 +1,12 @@
-"""Analytical views over the facts."""
+"""Analytical views over the facts.
+
+``line_states`` and ``station_states`` are for ``operators.states.keep_states``: a
+changed day of a fact then costs that day, and the view is merged from the states.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
@@ -60,32 +65,56 @@ def last_hours(
     )
 
 
-def line_performance(fact_line_status: DataFrame) -> DataFrame:
-    """Per line: readings, how many were good or disrupted, share of good, worst severity."""
-    good = F.count_if("is_good_service")
-    return fact_line_status.groupBy("line_id").agg(
+def line_states(fact_line_status: DataFrame, folders: Sequence[str] = ()) -> DataFrame:
+    """Per folder and line what ``line_performance`` adds up."""
+    return fact_line_status.groupBy(*folders, "line_id").agg(
         F.count(F.lit(1)).alias("snapshots"),
-        good.alias("good_snapshots"),
+        F.count_if("is_good_service").alias("good_snapshots"),
         F.count_if("is_disrupted").alias("disrupted_snapshots"),
-        (good / F.count(F.lit(1))).alias("good_share"),
         F.min("status_severity").alias("worst_severity"),
     )
 
 
-def station_activity(fact_arrivals: DataFrame) -> DataFrame:
-    """Per station and period of day: arrivals, vehicles, lines and mean wait.
+def merged_lines(states: DataFrame) -> DataFrame:
+    """``line_performance`` from the states of any folders."""
+    counts = ("snapshots", "good_snapshots", "disrupted_snapshots")
+    merged = states.groupBy("line_id").agg(*(F.sum(c).alias(c) for c in counts), F.min("worst_severity").alias("worst_severity"))
+    return merged.select("line_id", *counts, (F.col("good_snapshots") / F.col("snapshots")).alias("good_share"), "worst_severity")
 
-    Fact rows are folded to one for each vehicle and line before anything is
-    counted distinctly, so they are not multiplied by the distinct counts.
+
+def line_performance(fact_line_status: DataFrame) -> DataFrame:
+    """Per line: readings, how many were good or disrupted, share of good, worst severity."""
+    return merged_lines(line_states(fact_line_status))
+
+
+PLACE = ("naptan_id", "period_of_day")
+
+
+def station_states(fact_arrivals: DataFrame, folders: Sequence[str] = ()) -> DataFrame:
+    """Per folder, station, period, vehicle and line: rows and waits.
+
+    Sums and distinct values at once, so merged states count exactly.
     """
-    place = ["naptan_id", "period_of_day"]
     seconds = F.col("time_to_station_seconds")
-    folded = fact_arrivals.groupBy(*place, "vehicle_id", "line_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(seconds.cast("long")).alias("_seconds"), F.count(seconds).alias("_timed")
+    return fact_arrivals.groupBy(*folders, *PLACE, "vehicle_id", "line_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(seconds.cast("long")).alias("seconds"), F.count(seconds).alias("timed")
     )
-    return folded.groupBy(*place).agg(
-        F.sum("_rows").alias("arrivals"),
+
+
+def merged_stations(states: DataFrame) -> DataFrame:
+    """``station_activity`` from the states of any folders."""
+    return states.groupBy(*PLACE).agg(
+        F.sum("rows").alias("arrivals"),
         F.count_distinct("vehicle_id").alias("vehicles"),
         F.count_distinct("line_id").alias("lines"),
-        F.try_divide(F.sum("_seconds"), F.sum("_timed")).alias("mean_wait_seconds"),
+        F.try_divide(F.sum("seconds"), F.sum("timed")).alias("mean_wait_seconds"),
     )
+
+
+def station_activity(fact_arrivals: DataFrame) -> DataFrame:
+    """Per station and period of day: arrivals, vehicles, lines and mean wait.
+
+    Fact rows are folded to one for each vehicle and line before anything is
+    counted distinctly, so they are not multiplied by the distinct counts.
+    """
+    return merged_stations(station_states(fact_arrivals))

@@ -7,7 +7,10 @@ from datetime import date
 from pyspark.sql import functions as F, types as T
 
 from siltstone.functions.timekeys import date_key
-from siltstone.operators.quality import Expectations, health_report as report_health, quality_report as report_quality
+from siltstone.operators import states
+from siltstone.operators.quality import (
+    Expectations, health_of_profiles, health_report as report_health, profile, quality_report as report_quality,
+)
 from siltstone.operators.records import union_batches
 from siltstone.operators.starjoin import Lookup, star_join
 from siltstone.plans import dims, facts, refresh, silver, views
@@ -266,6 +269,47 @@ def health_report(spark, sf_dir):
     })
 
 
+EXPECTED = {
+    "arrivals": Expectations(("id", "naptanId"), ("id", "timestamp")),
+    "line_status": Expectations(("id", "modified"), ("id", "_ingested_at", "statusSeverity")),
+}
+
+
+def halves(df):
+    """A table's rows in two parts by their day: those of even days and the others."""
+    even = F.col("_day") % 2 == 0
+    return df.where(~even), df.where(even)
+
+
+@query(f"""
+select 'arrivals' as "table", count(*) as rows, max(_ingested_at) as newest, cast(1 as double) as pass_rate from ({sql.ARRIVALS})
+union all
+select 'line_status', count(*), max(_ingested_at), 2 / 3 from ({sql.LINE_STATUS})""")
+def health_from_profiles(spark, sf_dir):
+    """Health merged from the profiles of day folders, half of which came later; only these are then read."""
+    merged = {}
+    for name, expect in EXPECTED.items():
+        path, kept = scratch_path(spark, name), scratch_path(spark, "profiles")
+        for part, mode in zip(halves(cleaned(spark, sf_dir, name)), ("overwrite", "append")):
+            write_partitioned(part, path, mode=mode)
+            states.keep_states(spark, path, kept, lambda rows, days: profile(rows, expect, days, "_ingested_at"))
+        merged[name] = (states.read_states(spark, kept), expect)
+    return health_of_profiles(merged)
+
+
+@query(f"""
+select naptan_id, period_of_day, count(*) as arrivals, count(distinct vehicle_id) as vehicles,
+  count(distinct line_id) as lines, avg(time_to_station_seconds) as mean_wait_seconds
+from ({sql.FACT_ARRIVALS}) group by naptan_id, period_of_day""")
+def view_station_kept(spark, sf_dir):
+    """The view from states kept by day; a second part of the fact brings other days."""
+    path, kept = scratch_path(spark, "fact"), scratch_path(spark, "stations")
+    for part, mode in zip(halves(arrivals_fact(spark, sf_dir)), ("overwrite", "append")):
+        write_partitioned(part, path, mode=mode)
+        states.keep_states(spark, path, kept, views.station_states)
+    return views.merged_stations(states.read_states(spark, kept))
+
+
 def landed_feeds(spark, sf_dir):
     root = scratch_path(spark, "bronze")
     for feed, shape in feeds.FEEDS.items():
