@@ -16,6 +16,7 @@ from siltstone import streaming
 from workload import feeds, sql
 from workload.layers import cleaned
 from workload.registry import AT, query
+from workload.sources import LANDED
 
 
 @query("""
@@ -185,19 +186,14 @@ def checkpoint(spark):
     return scratch_path(spark, "stream-state")
 
 
-@query("""
-select cast(year(t) as integer) as year, cast(month(t) as integer) as month, cast(day(t) as integer) as day,
-  count(*) as records, count(distinct event_id) as ids
-from (select event_id, ts + to_seconds(p) as t from events, (select 0 as p union all select 30))
-group by year(t), month(t), day(t)""")
+@query(sql.LANDED)
 def stream_bronze_landing(spark, sf_dir):
     incoming = scratch_path(spark, "incoming")
     feeds.arrivals(spark, sf_dir).write.json(incoming)
     path = scratch_path(spark, "bronze")
     stream = streaming.read_feed_stream(spark, incoming, feed_schema("arrivals"))
     streaming.land_stream(stream, path, checkpoint(spark), "_ingested_at")
-    df = raw.read_feed(spark, path, feed_schema("arrivals"))
-    return df.groupBy(*raw.DAY_FOLDERS).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"))
+    return raw.read_feed(spark, path, feed_schema("arrivals")).select(*LANDED)
 
 
 def settled_arrivals(spark, sf_dir, delay="1 hour"):

@@ -113,16 +113,19 @@ def quarantine_bad_records(spark, sf_dir):
     ])
 
 
-@query("""
-select cast(year(t) as integer) as year, cast(month(t) as integer) as month, cast(day(t) as integer) as day,
-  count(*) as records, count(distinct event_id) as ids
-from (select event_id, ts + to_seconds(p) as t from events, (select 0 as p union all select 30))
-group by year(t), month(t), day(t)""")
+#: Fields of landed predictions that tell what was landed, and the folders they lie in.
+LANDED = (
+    "id", "vehicleId", "naptanId", "stationName", "lineId", "lineName", "platformName", "direction", "destinationNaptanId",
+    "destinationName", "timestamp", "timeToStation", "currentLocation", "towards", "timeToLive", "modeName", "_ingested_at",
+    *raw.DAY_FOLDERS,
+)
+
+
+@query(sql.LANDED)
 def bronze_landing(spark, sf_dir):
     path = scratch_path(spark, "landing")
     raw.land(feeds.arrivals(spark, sf_dir), path, "_ingested_at")
-    landed = raw.read_feed(spark, path, feed_schema("arrivals"))
-    return landed.groupBy(*raw.DAY_FOLDERS).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"))
+    return raw.read_feed(spark, path, feed_schema("arrivals")).select(*LANDED)
 
 
 @query(f"""

@@ -56,6 +56,21 @@ def hour_of_2024(day: str) -> str:
 
 COLOUR = "case line_id " + " ".join(f"when '{k}' then '{v}'" for k, v in LINE_COLOURS.items()) + " end"
 
+LANDED = f"""
+select cast(event_id as varchar) as id, case when event_type = 'signup' then '' when event_type <> 'error' then 'V' || user_id end as "vehicleId",
+  'S' || user_id as "naptanId", '  Station ' || user_id || ' ' as "stationName", case when {K} <> 0 then {LINE_ID} end as "lineId",
+  'Line ' || user_id as "lineName", case when event_type <> 'view' then 'Platform ' || event_type end as "platformName",
+  case when event_type in ('click', 'view') then ' Inbound ' else 'OUTBOUND' end as direction, '' as "destinationNaptanId",
+  ' ' || event_type || ' ' as "destinationName", strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as "timestamp", {K} * 17 as "timeToStation",
+  ' poll ' || p as "currentLocation", event_type || ' ' as towards,
+  case when event_type = 'error' then 'not a time' else strftime(ts + to_seconds({K} * 17), '%Y-%m-%dT%H:%M:%S.%fZ') end as "timeToLive",
+  case when event_type = 'purchase' then 'bus' else 'tube' end as "modeName",
+  strftime(ts + to_seconds(p), '%Y-%m-%dT%H:%M:%S.%f+00:00') as _ingested_at,
+  cast(year(ts + to_seconds(p)) as integer) as year, cast(month(ts + to_seconds(p)) as integer) as month,
+  cast(day(ts + to_seconds(p)) as integer) as day
+from events, (select 0 as p union all select 30)
+"""
+
 ARRIVALS = f"""
 select cast(event_id as varchar) as id, 1 as "operationType",
   case when event_type = 'signup' then '' when event_type <> 'error' then 'V' || user_id end as "vehicleId",
