@@ -15,6 +15,9 @@ from siltstone.sources.sinks import write_partitioned
 DAY_FOLDERS = ("year", "month", "day")
 CORRUPT = "_corrupt_record"
 FILE = "_file"
+# Landed lines repeat their field names, so they are kept compressed.  Such a file is
+# read by one task, so it holds a bounded number of records.
+LANDED_OPTIONS = {"compression": "gzip", "maxRecordsPerFile": "100000"}
 
 
 def read_feed(
@@ -79,5 +82,5 @@ def with_day_folders(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def land(df: DataFrame, path: str, time_column: str, mode: str = "append") -> None:
-    """Write records as JSON lines under day folders."""
-    write_partitioned(with_day_folders(df, time_column), path, DAY_FOLDERS, mode=mode, fmt="json")
+    """Write records as compressed JSON lines under day folders."""
+    write_partitioned(with_day_folders(df, time_column), path, DAY_FOLDERS, mode=mode, fmt="json", options=LANDED_OPTIONS)

@@ -29,8 +29,9 @@ def write_partitioned(
     fmt: str = "parquet",
     filed: bool = False,
     emptied: Collection[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
-    """Write a table in folders.
+    """Write a table in folders; ``options`` are those of its format.
 
     Rows are rebalanced by folder first: small folders get one file instead of
     one per task, and a folder with a large share of the rows is split over
@@ -41,7 +42,7 @@ def write_partitioned(
     Either way the table stays as it was should the write fail, and a stop while
     folders are put in place is made good later.
     """
-    writer = (df if filed else df.hint("rebalance", *columns)).write.partitionBy(*columns).format(fmt)
+    writer = (df if filed else df.hint("rebalance", *columns)).write.partitionBy(*columns).format(fmt).options(**(options or {}))
     spark = df.sparkSession
     if mode != "overwrite":
         forget_keys(spark, path)
