@@ -189,7 +189,7 @@ def checkpoint(spark):
 @query(sql.LANDED)
 def stream_bronze_landing(spark, sf_dir):
     incoming = scratch_path(spark, "incoming")
-    feeds.arrivals(spark, sf_dir).write.json(incoming)
+    feeds.arrivals(spark, sf_dir).write.options(**raw.LANDED_OPTIONS).json(incoming)
     path = scratch_path(spark, "bronze")
     stream = streaming.read_feed_stream(spark, incoming, feed_schema("arrivals"))
     streaming.land_stream(stream, path, checkpoint(spark), "_ingested_at")
