@@ -262,8 +262,9 @@ def backfill(
     in_range = in_days(PARTITION_COLUMNS, first, last)
     with scratch_scope(spark):
         raw = read_feed(spark, bronze, feed_schema(feed), first - timedelta(days=1), last_landed)
-        rows = materialise(silver.build(table, raw, at), "backfill")
+        rows = silver.build(table, raw, at)
         if not table.filed_by_key:
+            rows = materialise(rows, "backfill")
             # Readings of the range's keys that belong to other days count as well.
             existing = read_table_if_any(spark, path)
             concerned = silver.with_days(table, raw).where(in_range).select(*table.keys)
@@ -272,5 +273,6 @@ def backfill(
             concerned = materialise(concerned.distinct(), "concerned")
             rows = rows.alias("r").join(concerned.alias("c"), same("r", "c", table.keys), "left_semi")
         else:
+            # The merge writes them out itself, in the places where they were deduplicated.
             rows = rows.where(in_range)
         upsert_table(path, rows, table.keys, table.newest or table.keys, filed_by_key=table.filed_by_key, outdated=in_range)
