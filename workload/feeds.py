@@ -1,7 +1,7 @@
 """The supplied tables reshaped into raw feeds, with re-sent copies and bad values.
 
 Every feed covers its whole table.  Shapes follow ``siltstone.schemas``; each
-reshaping is row by row, so it adds no shuffle to what is measured.
+reshaping is row by row, after one shuffle of the narrow rows of a large table.
 """
 
 from __future__ import annotations
@@ -19,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a table that one task reshapes.
+SPREAD_ROWS = 100_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly over tasks of a bounded size.
+
+    Tables are compressed and in few splits, and a raw feed is many times as large,
+    so rows are dealt while they are narrow.
+    """
+    tasks = -(-df.count() // SPREAD_ROWS)
+    return df.repartition(tasks, *df.columns) if tasks > 1 else df
+
+
 def text(*parts: Column | str) -> Column:
     """Concatenation where bare strings are literals."""
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -35,7 +49,8 @@ def seconds_later(time: Column, seconds: Column) -> Column:
 def events_with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the integer held in ``props``; ``ts`` as a zoned timestamp."""
     k = F.get_json_object("props", "$.k").try_cast("int")
-    return table(spark, sf_dir, "events").withColumns({"k": k, "ts": F.col("ts").cast("timestamp")})
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
+    return events.withColumns({"k": k, "ts": F.col("ts").cast("timestamp")})
 
 
 def hour_of_2024(day: Column) -> Column:
@@ -115,7 +130,9 @@ def line_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bikepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item is a reading of the dock its part stands for."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"
+    ))
     flag, status, quantity = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity").cast("int")
 
     def entry(key: str, value: Column) -> Column:
@@ -149,7 +166,7 @@ STOP_POLLS = ("2024-01-01T03:00:00Z", "2024-01-20T03:00:00Z")
 
 def stoppoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer is a stop, polled twice with its status turned in between."""
-    cust = table(spark, sf_dir, "customer").withColumn("at", F.explode(F.array(*(F.lit(p) for p in STOP_POLLS))))
+    cust = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")).withColumn("at", F.explode(F.array(*(F.lit(p) for p in STOP_POLLS))))
     segment, nation, key = F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_custkey")
     zone = F.when(nation < 10, nation.cast("string")).when(nation <= 20, text(nation - 9, "/", nation - 8))
 
@@ -208,7 +225,9 @@ ACCIDENT_POLLS = ("2024-01-05T00:00:00Z", "2024-01-06T00:00:00Z")
 
 def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is an accident, reported twice with its location corrected."""
-    orders = table(spark, sf_dir, "orders").withColumn("at", F.explode(F.array(*(F.lit(p) for p in ACCIDENT_POLLS))))
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )).withColumn("at", F.explode(F.array(*(F.lit(p) for p in ACCIDENT_POLLS))))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
 
     def casualty(severity: str | None) -> Column:

@@ -55,9 +55,9 @@ def silver_line_status_per_poll(spark, sf_dir):
 
 @query(sql.BIKEPOINTS)
 def silver_bikepoint(spark, sf_dir):
-    # Written first in even files, as a landed feed is: an array built in the
+    # Written first, in the even files that the feed comes in: an array built in the
     # same plan would be built again for each property taken from it.
-    landed = materialise(feeds.bikepoints(spark, sf_dir).hint("rebalance"), "bikepoints")
+    landed = materialise(feeds.bikepoints(spark, sf_dir), "bikepoints")
     return silver.bikepoints(landed, AT)
 
 
