@@ -76,9 +76,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def with_day_folders(df: DataFrame, time_column: str) -> DataFrame:
     """Add the raw layer's folder columns, zero-padded text, from a UTC time."""
     t = as_timestamp(time_column)
-    return df.withColumns(
-        {name: F.date_format(t, fmt) for name, fmt in zip(DAY_FOLDERS, ("yyyy", "MM", "dd"))}
-    )
+    padded = [F.lpad(number.cast("string"), 2, "0") for number in (F.month(t), F.dayofmonth(t))]
+    return df.withColumns(dict(zip(DAY_FOLDERS, [F.date_format(t, "yyyy"), *padded])))
 
 
 def land(df: DataFrame, path: str, time_column: str, mode: str = "append") -> None:

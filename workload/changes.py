@@ -199,7 +199,10 @@ def stream_bronze_landing(spark, sf_dir):
 def settled_arrivals(spark, sf_dir, delay="1 hour"):
     """Predictions as a stream, the survivor of each key; one of a later day closes all keys before it and stays open."""
     bronze = landed(spark, sf_dir)
-    last = feeds.arrivals(spark, sf_dir).where("naptanId is not null and lineId is not null").orderBy(F.desc("timestamp"), "id").limit(1)
+    rows = feeds.arrivals(spark, sf_dir).where("naptanId is not null and lineId is not null")
+    # Its time is found first, so that whole records are made and ordered only for rows of that time.
+    newest = rows.agg(F.max("timestamp").alias("timestamp"))
+    last = rows.join(F.broadcast(newest), "timestamp", "left_semi").orderBy("id").limit(1)
     beat = last.withColumns({"id": F.lit("beat"), "timestamp": feeds.iso(feeds.seconds_later(F.col("timestamp"), F.lit(86400)))})
     raw.land(beat, bronze, "_ingested_at")
     stream = streaming.read_feed_stream(spark, bronze, feed_schema("arrivals"))
