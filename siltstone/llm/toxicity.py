@@ -25,7 +25,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -56,16 +56,19 @@ PIECE, OVERLAP, CUT = 48, 8, "-"
 CACHE_TOKENS = 400_000
 
 _BEGIN, _END = 62, 63
+# Stand before and after a piece while many are coded at once; no unit has such characters.
+_FROM, _TO = "\x01", "\x02"
 _SENTENCE_END = re.compile(rb"(?<=[.!?])\s+|\n")
 _SPACED = re.compile(r"(?<!\S)(?:\w\W*\s){2,}\w\W*(?!\S)")
 
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Letter classes below the two that mark the ends of a unit."""
+    """Letter classes below the two that mark the ends of a unit, and these at the characters that stand for them."""
     table = letter_classes().copy()
     table[table >= _BEGIN] -= 8
     table[48:58] = 54
+    table[[ord(_FROM), ord(_TO)]] = _BEGIN, _END
     return table
 
 
@@ -82,6 +85,8 @@ def unit(token: str) -> str:
 
 def pieces(word: str) -> list[str]:
     """Overlapping pieces of a unit; ``CUT`` stands where a piece does not begin or end with its unit."""
+    if len(word) <= PIECE:
+        return [word]
     return [
         CUT * (at > 0) + word[at : at + PIECE] + CUT * (at + PIECE < len(word))
         for at in range(0, max(len(word) - OVERLAP, 1), PIECE - OVERLAP)
@@ -90,12 +95,12 @@ def pieces(word: str) -> list[str]:
 
 def _coded(parts: Sequence[str]) -> np.ndarray:
     """Pieces as rows of classes between end marks, -1 filling the rows."""
+    joined = f"{_TO}{_FROM}".join(parts).join((_FROM, _TO)).replace(_FROM + CUT, "").replace(CUT + _TO, "") if parts else ""
+    codes = _classes()[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+    cuts = np.fromiter(((p[:1] == CUT) + (p[-1:] == CUT) for p in parts), np.int64, len(parts))
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 2 - 2 * cuts
     rows = np.full((len(parts), max(map(len, parts), default=0) + 2), -1, np.int32)
-    table = _classes()
-    for row, part in zip(rows, parts):
-        codes = table[np.frombuffer(part.strip(CUT).encode("utf-32-le"), np.uint32)]
-        codes = np.concatenate([[_BEGIN] * (part[:1] != CUT), codes, [_END] * (part[-1:] != CUT)])
-        row[: len(codes)] = codes
+    rows[np.arange(rows.shape[1]) < lengths[:, None]] = codes
     return rows
 
 
@@ -124,12 +129,15 @@ def margins(units: Sequence[str], table: np.ndarray, bias: float) -> np.ndarray:
     """The machine's margin of each unit: the greatest of its pieces'."""
     out = np.full(len(units), -np.inf)
     # Pieces of about one length share an array, so that a long one does not widen all.
-    parts = sorted(((p, n) for n, word in enumerate(units) for p in pieces(word)), key=lambda x: len(x[0]))
+    cut = list(map(pieces, units))
+    parts = list(chain.from_iterable(cut))
+    owners = np.repeat(np.arange(len(units)), np.fromiter(map(len, cut), np.int64, len(cut)))
+    order = np.argsort(np.fromiter(map(len, parts), np.int64, len(parts)), kind="stable")
     for at in range(0, len(parts), 2048):
-        part, owner = zip(*parts[at : at + 2048])
-        code, weight = subsequences(_coded(part))
+        some = order[at : at + 2048]
+        code, weight = subsequences(_coded([parts[i] for i in some]))
         found = (table[code] * weight).sum(1, dtype=np.float64) / _norms(weight) + bias
-        np.maximum.at(out, np.array(owner), found)
+        np.maximum.at(out, owners[some], found)
     return out
 
 
