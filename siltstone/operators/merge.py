@@ -60,6 +60,7 @@ def upsert_table(
     outdated: Column | None = None,
     settled: Settled | None = None,
     beside: Mapping[str, DataFrame] | None = None,
+    written: bool = False,
 ) -> set[str]:
     """Merge ``source`` into a partitioned table, rewriting only the folders concerned, and name these.
 
@@ -75,9 +76,13 @@ def upsert_table(
     go whether or not a newer row replaces them.  What is to be kept ``beside``
     the rows, as the log of files taken in, is added to what is there.  All of it
     is one commit: it is made whole or not at all.
+
+    A source that only reads ``written`` tables, this one not among them, may be
+    read twice.  If besides keys have their folders and copies are ``settled`` in
+    any order, its copies meet those of the table in the one shuffle of the merge.
     """
     with scratch_scope(source.sparkSession):
-        return _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside or {})
+        return _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside or {}, written)
 
 
 def replace_rows(
@@ -114,15 +119,17 @@ def replace_rows(
     return set(folder_names(spark, path, columns))
 
 
-def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside) -> set[str]:
+def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside, written) -> set[str]:
     spark = source.sparkSession
     begin(spark, path)
     order = (newest, settled.oldest, settled.apart) if settled is not None else (newest,)
-    # Read several times below, and perhaps derived from the table itself.
-    source = materialise(dedup_latest(source, keys, *order), "upsert-source")
+    single = dedup_latest(source, keys, *order)
     target = read_table_if_any(spark, path)
     if target is None:
-        return replace_rows(path, source, keys, columns, filed_by_key, beside, keep=(LOG, BAD))
+        return replace_rows(path, single, keys, columns, filed_by_key, beside, keep=(LOG, BAD))
+    if not (written and filed_by_key and settled is not None):
+        # Read several times below, and perhaps derived from the table itself.
+        source = materialise(single, "upsert-source", wide=True)
 
     change = staged(spark, path)
     schema = evolved_schema(target.schema, source.schema)
@@ -145,10 +152,10 @@ def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled
     merged = upsert_latest(conform(touched, schema), source, keys, newest, settled)
     merged.hint("rebalance", *columns).write.partitionBy(*columns).parquet(f"{change}/rows")
 
-    written = staged_folders(spark, change, "rows", columns)
+    made = staged_folders(spark, change, "rows", columns)
     # A folder whose last row has moved to another one is not overwritten by any row.
-    emptied = folders - set(written)
-    moves, removes = {f"rows/{f}": f for f in written}, sorted(emptied)
+    emptied = folders - set(made)
+    moves, removes = {f"rows/{f}": f for f in made}, sorted(emptied)
     if not filed_by_key:
         rows = spark.read.schema(schema).parquet(f"{change}/rows")
         if index is None:
@@ -163,7 +170,7 @@ def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled
         texts, removes = schema_text(schema), [*removes, SCHEMA_FOLDER]
     moves, removes = moves | added, removes + merged_parts
     commit(spark, path, change, moves, removes, texts)
-    return folders | set(written)
+    return folders | set(made)
 
 
 def incremental_load(

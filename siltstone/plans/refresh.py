@@ -28,7 +28,7 @@ FACTS = ("fact_arrivals", "fact_line_status")
 
 def routed(table: silver.SilverTable, raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Records to clean and what to set aside, from one scan of the landed files."""
-    good, bad = silver.route(table, materialise(raw, "landed"))
+    good, bad = silver.route(table, materialise(raw, "landed", wide=True))
     bad = materialise(bad, "bad")
     return good, {} if bad.isEmpty() else {BAD: bad}
 
@@ -85,9 +85,12 @@ def take_in(spark: SparkSession, feed: str, bronze: str, path: str, at: str | No
         if found is None:
             return set()
         good, bad = routed(table, found[0])
+        # The merge drops the copies of keys that have their folders, by the same order.
+        merged_once = table.filed_by_key and table.finish is None
+        rows = silver.finish(table.clean(good), table, at) if merged_once else silver.build(table, good, at)
         return upsert_table(
-            path, silver.build(table, good, at), table.keys, table.newest, filed_by_key=table.filed_by_key,
-            settled=settling(table), beside={LOG: found[1]} | bad,
+            path, rows, table.keys, table.newest, filed_by_key=table.filed_by_key,
+            settled=settling(table), beside={LOG: found[1]} | bad, written=True,
         )
 
 

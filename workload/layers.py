@@ -357,7 +357,7 @@ def deliveries(spark, sf_dir, bronze, *wanted):
         "arrivals": F.col("currentLocation").contains("30") | (F.crc32(F.col("id").cast("binary")) % 2 == 0),
         "line_status": F.crc32(F.col("id").cast("binary")) % 2 == 0,
     }
-    shaped = {feed: materialise(feeds.FEEDS[feed](spark, sf_dir), feed) for feed in wanted}
+    shaped = {feed: materialise(feeds.FEEDS[feed](spark, sf_dir), feed, wide=True) for feed in wanted}
     for delivery in (0, 1):
         for feed, df in shaped.items():
             second = later.get(feed, F.xxhash64(*df.columns[:2]) % 2 == 0)
