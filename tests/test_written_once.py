@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from conftest import rows
+from siltstone import streaming
 from siltstone.operators import merge
 from siltstone.plans import refresh, silver
 from siltstone.schemas import feed_schema
@@ -56,3 +57,20 @@ def test_a_source_read_from_its_own_table_is_written_first(spark, tmp_path, monk
     merge.upsert_table(path, source, ["id", "_day"], ["version"], ["_day"], filed_by_key=True)
     assert written == ["upsert-source"]
     assert rows(read_table(spark, path), "id", "version") == [(1, 2), (2, 2)]
+
+
+def test_work_on_a_batch_is_as_adaptive_as_the_session(spark, tmp_path, monkeypatch):
+    written, seen = labels_of(monkeypatch, merge), []
+    deliver(tmp_path, "a", {"id": "1"}, {"id": "2"}, {"id": "next", "timestamp": "2024-06-15T12:00:00Z"})
+
+    def build(batch):
+        seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return batch
+
+    stream = streaming.read_feed_stream(spark, str(tmp_path / "bronze"), feed_schema("arrivals"))
+    settled = streaming.settled_stream(silver.TABLES["arrivals"], stream, "1 hour", AT)
+    path = str(tmp_path / "fact")
+    streaming.fact_stream(settled, build, path, str(tmp_path / "cp"), ("id", "timestamp"), ("_ingested_at",))
+    assert set(seen) == {"true"} and written == []
+    assert rows(read_table(spark, path), "id") == [("1",), ("2",)]
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
