@@ -6,10 +6,11 @@ side by side only if merging their joined bytes from scratch leaves them as they
 are: the pair-compatibility table, filled as pairs are met.  If all neighbours
 are compatible, the whole sequence is what the merges would give.
 
-To encode, an Aho-Corasick automaton gives the longest token at each place; a
-token that is incompatible with the one before it is replaced by its next shorter
-prefix, and when none is left the token before is taken back, its end being
-remembered as unreachable.  Words repeat, so a task keeps those it has met.
+To encode, an Aho-Corasick automaton gives the longest token at each place it is
+asked for; a token that is incompatible with the one before it is replaced by its
+next shorter prefix, and when none is left the token before is taken back, its end
+being remembered as a dead end.  Words repeat, and so do the runs of words and
+signs between two spaces, so a task keeps the ids of those it has met last.
 
 To decode, ids index an offset table into one buffer of all tokens' bytes.
 """
@@ -19,22 +20,26 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from siltstone.llm.arrow import SLICE_ROWS, importable, with_texts
 
-#: Words that a task remembers before it starts afresh; bounds memory, not results.
+#: Words and runs that a task remembers before it forgets as many older ones; bounds memory, not results.
 CACHE_WORDS = 150_000
-#: Longer words are encoded each time they occur.
+#: Longer ones are encoded each time they occur.
 CACHE_CHARS = 64
+#: Symbols of a word in which the automaton goes on from token to token.
+WINDOW = 64
 #: Pairs in the compatibility table before it starts afresh.
 TABLE_PAIRS = 200_000
 
@@ -96,10 +101,14 @@ class Vocabulary:
             if a in stable and b in stable and self._apart(a, b):
                 stable.add(both)
         known = {self.symbols[i]: i for i in stable}
+        if not all(chr(c) in known for c in range(512)):
+            raise ValueError("the vocabulary must hold every byte, as a word's end too")
         self.automaton = ahocorasick.Automaton()
         for s, i in known.items():
-            self.automaton.add_word(s, (len(s), i))
+            self.automaton.add_word(s, i)
         self.automaton.make_automaton()
+        self.lengths = [len(s) for s in self.symbols]
+        self.width = max(self.lengths)
         #: The longest token that is a proper prefix of each.
         self.shorter = [
             next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1) for s in self.symbols
@@ -139,30 +148,42 @@ class Vocabulary:
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one word."""
         text = word[:-1].decode("latin-1") + chr(word[-1] + 256)
-        count = len(text)
-        longest, size = [-1] * count, [0] * count
-        for last, (n, i) in self.automaton.iter(text):
-            if n > size[last - n + 1]:
-                size[last - n + 1], longest[last - n + 1] = n, i
-        symbols, shorter = self.symbols, self.shorter
-        reachable = bytearray(b"\x01") * (count + 1)
+        count, width = len(text), self.width
+        longest, lengths, shorter = self.automaton.iter_long, self.lengths, self.shorter
+        table, may_meet = self._compatible, self.may_meet
+        dead: set[int] = set()
         found: list[int] = []
-        at, offer = 0, longest[0]
-        while at < count:
-            while offer >= 0 and not (
-                reachable[at + len(symbols[offer])] and (not found or self.may_meet(found[-1], offer))
-            ):
-                offer = shorter[offer]
-            if offer >= 0:
+        at, last = 0, -1
+        while True:
+            # The automaton copies what it is given: a window whose tokens begin before ``sure`` and end within it.
+            sure = count if at + WINDOW + width >= count else at + WINDOW
+            for _, offer in longest(text[at : sure + width]):
+                if at >= sure:
+                    break
+                if last >= 0:
+                    fits = table.get(last << 32 | offer)
+                    if not (may_meet(last, offer) if fits is None else fits):
+                        break
+                end = at + lengths[offer]
+                if end in dead:
+                    break
                 found.append(offer)
-                at += len(symbols[offer])
-                offer = longest[at] if at < count else -1
+                at, last = end, offer
             else:
-                # No token fits here: the one before must end elsewhere.
-                reachable[at] = 0
-                offer = found.pop()
-                at -= len(symbols[offer])
-        return found
+                return found
+            if at >= sure:
+                continue
+            offer = shorter[offer]
+            while offer < 0 or at + lengths[offer] in dead or (last >= 0 and not may_meet(last, offer)):
+                if offer < 0:
+                    # No token fits here: the one before must end elsewhere.
+                    dead.add(at)
+                    offer = found.pop()
+                    at -= lengths[offer]
+                    last = found[-1] if found else -1
+                offer = shorter[offer]
+            found.append(offer)
+            at, last = at + lengths[offer], offer
 
 
 def normalize(text: str) -> str:
@@ -183,77 +204,107 @@ def _newer() -> np.ndarray:
     return marks
 
 
+class Recent(dict):
+    """What ``make`` gives for each key, made again only for keys not met lately."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.older.get(key)
+        return self.keep(key, self.make(key) if made is None else made)
+
+    def keep(self, key: str, made: bytes) -> bytes:
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[key] = made
+        return made
+
+
 class Encoder:
-    """Whole texts to ids; remembers the ids of words it has met."""
+    """Whole texts to ids, packed as 32-bit numbers; remembers those of the words and runs it has met last."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self._pattern = regex.compile(vocabulary.pattern)
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")")
-        self._words: dict[str, list[int]] = {}
+        self._recent = Recent(self._run)
         self._library: Tokenizer | None = None
 
-    def _pieces(self, text: str) -> list[str]:
-        """Words of a text, normalised.
+    def _library_words(self, text: str) -> list[str]:
+        """Words of a text, normalised and cut by the library whose file this is."""
+        if self._library is None:
+            self._library = Tokenizer.from_file(self.vocabulary.path)
+        cut = pre_tokenizers.Split(Regex(self.vocabulary.pattern), "removed", invert=True)
+        return [piece for piece, _ in cut.pre_tokenize_str(self._library.normalizer.normalize_str(text))]
+
+    def _word(self, word: str) -> bytes:
+        return array("i", self.vocabulary.encode_word(word.encode())).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        """Ids of what stands between two spaces; a word cut out of it gives itself when cut again."""
+        words = [run] if run.isascii() and run.isalpha() else self._pattern.findall(run)
+        return self._word(run) if words == [run] else b"".join(map(self._recent.__getitem__, words))
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens.
 
         A text with letters newer than Python's tables is normalised and cut by
-        the library whose file this is, so that both agree on what a letter is.
+        the library, so that both agree on what a letter is.  No word holds a
+        space, so others are cut at spaces first, and then each new run.
         """
+        recent = self._recent
         if not text.isascii() and _newer()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
-            if self._library is None:
-                self._library = Tokenizer.from_file(self.vocabulary.path)
-            cut = pre_tokenizers.Split(Regex(self.vocabulary.pattern), "removed", invert=True)
-            return [piece for piece, _ in cut.pre_tokenize_str(self._library.normalizer.normalize_str(text))]
-        return self._pattern.findall(normalize(text))
-
-    def _ids(self, word: str) -> list[int]:
-        words = self._words
-        ids = words.get(word)
-        if ids is None:
-            ids = self.vocabulary.encode_word(word.encode())
-            if len(words) >= CACHE_WORDS:
-                words.clear()
-            if len(word) <= CACHE_CHARS:
-                words[word] = ids
-        return ids
+            words = self._library_words(text)
+            return b"".join([recent[w] if w in recent else recent.keep(w, self._word(w)) for w in words])
+        spaced = normalize(text).replace("\n", " ").replace("\r", " ").replace("\t", " ")
+        return b"".join(map(recent.__getitem__, spaced.split(" ")))
 
-    def encode(self, text: str) -> list[int]:
+    def pack(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
         special = self.vocabulary.special
         parts = self._special.split(text) if special else [text]
-        found: list[int] = []
-        known, ids = self._words.get, self._ids
-        for part in parts:
-            if part in special:
-                found.append(special[part])
-            else:
-                for word in self._pieces(part):
-                    found += known(word) or ids(word)
-        return found
+        if len(parts) == 1:
+            return self._plain(text)
+        return b"".join(array("i", [special[p]]).tobytes() if p in special else self._plain(p) for p in parts)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.pack(text)).tolist()
+
+    def lists(self, texts: Sequence[bytes | None]) -> pa.ListArray:
+        """The ids of each text; null texts have none."""
+        packed = [self.pack((t or b"").decode()) for t in texts]
+        return pa.ListArray.from_arrays(offsets([len(p) // 4 for p in packed]), np.frombuffer(b"".join(packed), np.int32))
+
+
+def offsets(counts: Sequence[int]) -> np.ndarray:
+    """Where lists of so many items begin, and where the last one ends."""
+    return np.cumsum(np.concatenate([[0], counts]), dtype=np.int64)
 
 
 class OffsetTable:
-    """All tokens' text in one buffer, each followed by the joining space, and where each begins."""
+    """All tokens' text in one buffer and where each begins."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
-        spelt = [b" "] * (max(ids.values()) + 1)
+        spelt = [""] * (max(ids.values()) + 1)
         for text, i in ids.items():
-            spelt[i] = text.encode() + b" "
-        self.buffer = np.frombuffer(b"".join(spelt), np.uint8)
-        self.lengths = np.array([len(t) for t in spelt], np.int32)
-        self.offsets = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
-
-    def decode(self, ids: Sequence[int]) -> bytes:
-        """The tokens' text joined by spaces, gathered at once; nothing for no ids."""
-        ids = np.asarray(ids, np.int32)
-        if not len(ids):
-            return b""
-        lengths = self.lengths[ids]
-        begins = np.cumsum(lengths, dtype=np.int64) - lengths
-        places = np.arange(begins[-1] + lengths[-1] - 1) + np.repeat(self.offsets[ids] - begins, lengths)[:-1]
-        return self.buffer[places].tobytes()
+            spelt[i] = text
+        self.tokens = pa.array(spelt, pa.string())
+
+    def decode(self, lists: pa.ListArray) -> pa.StringArray:
+        """The text of each list's tokens, gathered at once and joined by spaces; nothing for no ids."""
+        ids = lists.flatten()
+        if ids.null_count:
+            raise ValueError("an id must not be null")
+        counts = pc.list_value_length(lists).fill_null(0).to_numpy()
+        return pc.binary_join(pa.ListArray.from_arrays(offsets(counts), self.tokens.take(ids)), " ")
 
 
 @lru_cache(maxsize=2)
@@ -283,8 +334,8 @@ def encode(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text
     path = path or default_path()
 
     def make():
-        encoder = Encoder(load(path))
-        return lambda texts: [[encoder.encode((t or b"").decode()) for t in texts]]
+        lists = Encoder(load(path)).lists
+        return lambda texts: [lists(texts)]
 
     return with_texts(docs, keep, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
 
@@ -297,11 +348,11 @@ def round_trip(
     path = path or default_path()
 
     def make():
-        encoder, table = Encoder(load(path)), offset_table(path)
+        lists, table = Encoder(load(path)).lists, offset_table(path)
 
-        def step(texts: list[bytes | None]) -> list[Sequence]:
-            found = [encoder.encode((t or b"").decode()) for t in texts]
-            return [found, [table.decode(f).decode() for f in found]]
+        def step(texts: list[bytes | None]) -> list[pa.Array]:
+            found = lists(texts)
+            return [found, table.decode(found)]
 
         return step
 
@@ -324,9 +375,7 @@ def decode(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids: str = "id
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(at, SLICE_ROWS)
-                lists = piece.column(len(keep))
-                made = [table.decode(lists[i].values) if lists[i].is_valid else b"" for i in range(len(lists))]
-                decoded = pa.array([m.decode() for m in made], pa.string())
+                decoded = table.decode(piece.column(len(keep)))
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(keep)], decoded], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -1,6 +1,8 @@
 """Tokens, languages, toxicity and URLs: exact comparisons, held-out accuracy, edge cases."""
 
 import random
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import plain
@@ -50,6 +52,54 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     assert bpe.Encoder(vocabulary).encode(text) == want
 
 
+def test_words_met_lately_are_not_encoded_again(monkeypatch, tokenizer):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    vocabulary = bpe.Vocabulary(bpe.default_path())
+    encoder, made = bpe.Encoder(vocabulary), Counter()
+    plainly = vocabulary.encode_word
+    monkeypatch.setattr(vocabulary, "encode_word", lambda word: made.update([word]) or plainly(word))
+    text = " ".join(f"often {''.join(chr(97 + int(d)) for d in str(i))}x" for i in range(1000))
+    assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert made[b"often"] == 1 and len(made) == 1001
+
+
+def test_texts_met_lately_are_not_cut_again(tokenizer):
+    encoder, cut = bpe.Encoder(bpe.load(bpe.default_path())), []
+    pattern = encoder._pattern
+    encoder._pattern = SimpleNamespace(findall=lambda text: cut.append(text) or pattern.findall(text))
+    text = "It's 1st,\nÉté\u3000plus\x1cun...\tend \r\n  'tis"
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(text) == want and cut
+    cut.clear()
+    assert encoder.encode(text) == want and cut == []
+
+
+def test_newer_letters_do_not_mislead_later_texts(tokenizer):
+    # U+1C89 and U+10D4A are letters since Unicode 16.
+    texts = ["a\u1c89b 1\U00010d4a", "a b 1", "a\u1c89b!1 \U00010d4a", "b!1 a"] * 2
+    encoder = bpe.Encoder(bpe.load(bpe.default_path()))
+    assert [encoder.encode(t) for t in texts] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_longer_than_a_window(monkeypatch, tokenizer):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice(letters) for _ in range(n)) for letters in ("etaoin", "日本語é", "!?.") for n in (60, 130, 500, 5000)]
+    for window in (1, 7, bpe.WINDOW):
+        monkeypatch.setattr(bpe, "WINDOW", window)
+        encoder = bpe.Encoder(bpe.load(bpe.default_path()))
+        assert [encoder.encode(w) for w in words] == [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
+def test_lists_of_a_batch(tokenizer):
+    texts = [None, b"", b" \n", "ça <|endoftext|> va".encode(), b"x  y"]
+    lists = bpe.Encoder(bpe.load(bpe.default_path())).lists(texts)
+    want = [tokenizer.encode((t or b"").decode(), add_special_tokens=False).ids for t in texts]
+    assert lists.to_pylist() == want
+    decoded = bpe.offset_table(bpe.default_path()).decode(lists)
+    assert decoded.to_pylist() == [tokenizer.decode(w, skip_special_tokens=False) for w in want]
+    assert bpe.offset_table(bpe.default_path()).decode(lists[2:4]).to_pylist() == decoded.to_pylist()[2:4]
+
+
 def test_bpe_edges(spark, tokenizer):
     docs = plain.edge_docs(spark)
     encoded = bpe.encode(docs, ["doc_id", "text"])
