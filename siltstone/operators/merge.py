@@ -18,7 +18,7 @@ from siltstone.functions.folders import folders_of, in_folders
 from siltstone.functions.matching import same
 from siltstone.operators.dedup import dedup_latest
 from siltstone.operators.slices import POSITION, SLICE, sorted_slices, with_neighbour
-from siltstone.session import materialise, scratch_scope
+from siltstone.session import FREED, materialise, scratch_scope, settings
 from siltstone.sources.commits import (
     BAD, LOG, begin, commit, index_name, key_index, stage_beside, stage_keys, staged, staged_folders,
 )
@@ -61,6 +61,7 @@ def upsert_table(
     settled: Settled | None = None,
     beside: Mapping[str, DataFrame] | None = None,
     written: bool = False,
+    unique: bool = False,
 ) -> set[str]:
     """Merge ``source`` into a partitioned table, rewriting only the folders concerned, and name these.
 
@@ -80,9 +81,10 @@ def upsert_table(
     A source that only reads ``written`` tables, this one not among them, may be
     read twice.  If besides keys have their folders and copies are ``settled`` in
     any order, its copies meet those of the table in the one shuffle of the merge.
+    A source that is ``unique`` on ``keys`` already is not searched for copies.
     """
     with scratch_scope(source.sparkSession):
-        return _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside or {}, written)
+        return _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside or {}, written, unique)
 
 
 def replace_rows(
@@ -115,15 +117,16 @@ def replace_rows(
             if parts:
                 spark.read.text(parts).write.text(f"{target}/{name}/{uuid.uuid4().hex}")
 
-    replace_table(spark, path, fill)
+    with settings(spark, FREED):
+        replace_table(spark, path, fill)
     return set(folder_names(spark, path, columns))
 
 
-def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside, written) -> set[str]:
+def _upsert(path, source, keys, newest, columns, filed_by_key, outdated, settled, beside, written, unique) -> set[str]:
     spark = source.sparkSession
     begin(spark, path)
     order = (newest, settled.oldest, settled.apart) if settled is not None else (newest,)
-    single = dedup_latest(source, keys, *order)
+    single = source if unique else dedup_latest(source, keys, *order)
     target = read_table_if_any(spark, path)
     if target is None:
         return replace_rows(path, single, keys, columns, filed_by_key, beside, keep=(LOG, BAD))

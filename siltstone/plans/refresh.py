@@ -33,6 +33,22 @@ def routed(table: silver.SilverTable, raw: DataFrame) -> tuple[DataFrame, dict[s
     return good, {} if bad.isEmpty() else {BAD: bad}
 
 
+def kept_once(
+    table: silver.SilverTable, marked: DataFrame, feed: str, at: str | None
+) -> tuple[DataFrame, Observation, dict[str, DataFrame]]:
+    """The cleaned rows of a whole feed, their count, and what to set aside.
+
+    The records are wide, so they are not written out to be read by both sides: the
+    pass that cleans them counts the lines to set aside, and only if there are any
+    are the files, as they were listed, read for these. The cleaned rows are written
+    out before they are filed, so that the shuffle that finds copies is gone by then.
+    """
+    watched, aside = observed(marked, f"landed_{feed}", {"aside": silver.lines_aside(table, marked)})
+    df, seen = observed(silver.build(table, silver.route(table, watched)[0], at), f"silver_{feed}")
+    df = materialise(df, "cleaned")
+    return df, seen, {BAD: materialise(silver.route(table, marked)[1], "bad")} if aside.get["aside"] else {}
+
+
 def refresh_silver(spark: SparkSession, feed: str, bronze: str, path: str, at: str | None = None) -> Observation:
     """Rebuild one cleaned table in a single pass over its feed; the result holds its row count.
 
@@ -41,11 +57,11 @@ def refresh_silver(spark: SparkSession, feed: str, bronze: str, path: str, at: s
     table = silver.TABLES[feed]
     with scratch_scope(spark):
         landed = {LOG: materialise(landed_files(spark, bronze), "files")}
-        good, bad = routed(table, read_feed(spark, bronze, feed_schema(feed), marked=True))
-        df, seen = observed(silver.build(table, good, at), f"silver_{feed}")
+        marked = read_feed(spark, bronze, feed_schema(feed), marked=True)
+        df, seen, bad = kept_once(table, marked, feed, at)
         if table.append:
             # Rows whose raw data has gone stay; a correction of a known row replaces it.
-            upsert_table(path, df, table.keys, table.newest, settled=settling(table), beside=landed | bad)
+            upsert_table(path, df, table.keys, table.newest, settled=settling(table), beside=landed | bad, unique=True)
         else:
             replace_rows(path, df, table.keys, filed_by_key=table.filed_by_key, beside=landed | bad)
     return seen

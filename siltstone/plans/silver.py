@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from siltstone.functions import cleaning as c, nested as n
 from siltstone.operators.dedup import dedup_latest
@@ -59,18 +59,41 @@ def with_days(table: SilverTable, bronze: DataFrame) -> DataFrame:
     return c.with_partition_columns(table.clean(bronze), table.time)
 
 
+def _unparsed() -> Column:
+    return F.col(CORRUPT).isNotNull()
+
+
+def _complete(table: SilverTable) -> Column:
+    return F.coalesce(F.expr(table.complete), F.lit(False))
+
+
+def _set_aside(table: SilverTable) -> Column:
+    return _unparsed() | ~_complete(table)
+
+
+def _fields(marked: DataFrame) -> list[str]:
+    return [c for c in marked.columns if c not in (CORRUPT, FILE)]
+
+
+def _line(marked: DataFrame) -> Column:
+    """A record's text: as it was where it did not parse."""
+    return F.coalesce(CORRUPT, F.to_json(F.struct(*(F.col(f"`{x}`") for x in _fields(marked) if x not in DAY_FOLDERS))))
+
+
 def route(table: SilverTable, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Part records read with their corrupt text and file: those to clean, and (line, reason, file) to set aside.
 
     A record of which some fields parsed is cleaned with these, and its line is set aside as well.
     """
-    unparsed, complete = F.col(CORRUPT).isNotNull(), F.coalesce(F.expr(table.complete), F.lit(False))
-    fields = [c for c in marked.columns if c not in (CORRUPT, FILE)]
-    line = F.coalesce(CORRUPT, F.to_json(F.struct(*(F.col(f"`{x}`") for x in fields if x not in DAY_FOLDERS))))
-    bad = marked.where(unparsed | ~complete).select(
-        line.alias("line"), F.when(unparsed, "unparsed").otherwise("incomplete").alias("reason"), F.col(FILE).alias("file")
+    bad = marked.where(_set_aside(table)).select(
+        _line(marked).alias("line"), F.when(_unparsed(), "unparsed").otherwise("incomplete").alias("reason"), F.col(FILE).alias("file")
     )
-    return marked.where(complete).select(*(F.col(f"`{x}`") for x in fields)), bad
+    return marked.where(_complete(table)).select(*(F.col(f"`{x}`") for x in _fields(marked))), bad
+
+
+def lines_aside(table: SilverTable, marked: DataFrame) -> Column:
+    """An aggregate: how many records ``route`` sets aside. It looks at whole records, as their lines do."""
+    return F.count(F.when(_set_aside(table), _line(marked)))
 
 
 def build(table: SilverTable, bronze: DataFrame, at: str | None = None) -> DataFrame:

@@ -15,10 +15,10 @@ from siltstone.sources.sinks import write_partitioned
 DAY_FOLDERS = ("year", "month", "day")
 CORRUPT = "_corrupt_record"
 FILE = "_file"
-# Landed lines repeat their field names, so they are kept compressed, at the level that
-# takes half the time of the default for a quarter more bytes.  Such a file is read by
-# one task, so it holds a bounded number of records.
-LANDED_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "100000"}
+# Landed lines repeat their field names, so they are kept compressed, at gzip's default
+# level: the fastest takes 2 to 6 microseconds a record less and 33 to 63 % more bytes.
+# Such a file is read by one task, so it holds a bounded number of records.
+LANDED_OPTIONS = {"compression": "gzip", "zlib.compress.level": "DEFAULT_COMPRESSION", "maxRecordsPerFile": "100000"}
 
 
 def read_feed(
@@ -81,6 +81,7 @@ def with_day_folders(df: DataFrame, time_column: str) -> DataFrame:
     return df.withColumns(dict(zip(DAY_FOLDERS, [F.date_format(t, "yyyy"), *padded])))
 
 
-def land(df: DataFrame, path: str, time_column: str, mode: str = "append") -> None:
-    """Write records as compressed JSON lines under day folders."""
-    write_partitioned(with_day_folders(df, time_column), path, DAY_FOLDERS, mode=mode, fmt="json", options=LANDED_OPTIONS)
+def land(df: DataFrame, path: str, time_column: str, mode: str = "append", filed: bool = False) -> None:
+    """Write records as compressed JSON lines under day folders; ``filed`` ones are in tasks of few days and not shuffled."""
+    days = with_day_folders(df, time_column)
+    write_partitioned(days, path, DAY_FOLDERS, mode=mode, fmt="json", filed=filed, options=LANDED_OPTIONS)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from siltstone.functions.cleaning import PARTITION_COLUMNS
 from siltstone.functions.matching import same
+from siltstone.session import FREED, settings
 from siltstone.sources.commits import commit, forget_keys, staged, staged_folders
 from siltstone.sources.files import replace_table
 from siltstone.sources.tables import read_table_if_any
@@ -44,22 +45,24 @@ def write_partitioned(
     """
     writer = (df if filed else df.hint("rebalance", *columns)).write.partitionBy(*columns).format(fmt).options(**(options or {}))
     spark = df.sparkSession
-    if mode != "overwrite":
-        forget_keys(spark, path)
-        writer.mode(mode).save(path)
-    elif only_touched:
-        change = staged(spark, path)
-        writer.mode("error").save(f"{change}/rows")
-        forget_keys(spark, path)
-        written = staged_folders(spark, change, "rows", columns)
-        commit(spark, path, change, {f"rows/{f}": f for f in written}, set(emptied) - set(written))
-    else:
-        replace_table(spark, path, lambda target: writer.mode("error").save(target))
+    with settings(spark, FREED):
+        if mode != "overwrite":
+            forget_keys(spark, path)
+            writer.mode(mode).save(path)
+        elif only_touched:
+            change = staged(spark, path)
+            writer.mode("error").save(f"{change}/rows")
+            forget_keys(spark, path)
+            written = staged_folders(spark, change, "rows", columns)
+            commit(spark, path, change, {f"rows/{f}": f for f in written}, set(emptied) - set(written))
+        else:
+            replace_table(spark, path, lambda target: writer.mode("error").save(target))
 
 
 def write_dimension(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table, which ``df`` may read."""
-    replace_table(df.sparkSession, path, lambda staged: df.write.parquet(staged))
+    with settings(df.sparkSession, FREED):
+        replace_table(df.sparkSession, path, lambda staged: df.write.parquet(staged))
 
 
 def append_new(

@@ -23,14 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SPREAD_ROWS = 100_000
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The same rows dealt evenly over tasks of a bounded size.
+def spread(df: DataFrame, by: Column | None = None) -> DataFrame:
+    """The same rows dealt evenly over tasks of a bounded size, those of few values of ``by`` in each.
 
     Tables are compressed and in few splits, and a raw feed is many times as large,
-    so rows are dealt while they are narrow.
+    so rows are dealt while they are narrow: by day, records need no shuffle to land.
     """
     tasks = -(-df.count() // SPREAD_ROWS)
-    return df.repartition(tasks, *df.columns) if tasks > 1 else df
+    if tasks <= 1:
+        return df
+    return df.repartition(tasks, *df.columns) if by is None else df.repartitionByRange(tasks, by, F.xxhash64(*df.columns))
 
 
 def text(*parts: Column | str) -> Column:
@@ -49,7 +51,9 @@ def seconds_later(time: Column, seconds: Column) -> Column:
 def events_with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the integer held in ``props``; ``ts`` as a zoned timestamp."""
     k = F.get_json_object("props", "$.k").try_cast("int")
-    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
+    events = spread(
+        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"), F.to_date("ts")
+    )
     return events.withColumns({"k": k, "ts": F.col("ts").cast("timestamp")})
 
 
@@ -132,7 +136,7 @@ def bikepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item is a reading of the dock its part stands for."""
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"
-    ))
+    ), F.to_date(hour_of_2024(F.col("l_shipdate"))))
     flag, status, quantity = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity").cast("int")
 
     def entry(key: str, value: Column) -> Column:

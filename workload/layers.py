@@ -313,7 +313,8 @@ def view_station_kept(spark, sf_dir):
 def landed_feeds(spark, sf_dir):
     root = scratch_path(spark, "bronze")
     for feed, shape in feeds.FEEDS.items():
-        raw.land(shape(spark, sf_dir), f"{root}/{feed}", "_ingested_at")
+        # Feeds of many days come dealt by day, the others have few.
+        raw.land(shape(spark, sf_dir), f"{root}/{feed}", "_ingested_at", filed=True)
     return root
 
 
