@@ -178,7 +178,7 @@ def schema_evolve(spark, sf_dir):
 
 def landed(spark, sf_dir, feed="arrivals"):
     path = scratch_path(spark, "bronze")
-    raw.land(feeds.FEEDS[feed](spark, sf_dir), path, "_ingested_at")
+    raw.land(feeds.FEEDS[feed](spark, sf_dir), path, "_ingested_at", filed=True)
     return path
 
 
